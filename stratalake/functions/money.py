@@ -32,7 +32,7 @@ def line_amount(quantity: Column, unit_price: Column, discount_pct: Column) -> C
 def line_cents(cents: Column, quantity: Column, discount_pct: Column) -> Column:
     """Line total in whole cents, half a cent rounding up."""
     hundredths = cents * quantity * (F.lit(100) - discount_pct)
-    return F.floor((hundredths + F.lit(50)) / F.lit(100)).cast("bigint")
+    return F.call_function("div", (hundredths + F.lit(50)).cast("bigint"), F.lit(100).cast("bigint"))
 
 
 def to_money(amount: Column) -> Column:

@@ -128,20 +128,13 @@ def orders_before_customer(orders: DataFrame, customers: DataFrame) -> DataFrame
 def missing_rate_days(rates: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Days of the calendar a currency has no rate for, between the given or the overall first and
     last rate day. What is kept per currency is its set of days, bounded by the calendar."""
-    per_currency = rates.groupBy("quote_currency").agg(
-        F.min("rate_date").alias("lo"), F.max("rate_date").alias("hi"), F.collect_set("rate_date").alias("days")
-    )
-    edge = per_currency.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    lo = F.lit(start).cast("date") if start else F.col("edge.lo")
-    hi = F.lit(end).cast("date") if end else F.col("edge.hi")
-    # ``edge`` is a single row, so this attaches two values to each currency.
+    first = F.lit(start).cast("date") if start else rates.agg(F.min("rate_date")).scalar()
+    last = F.lit(end).cast("date") if end else rates.agg(F.max("rate_date")).scalar()
+    gaps = F.array_except(F.sequence(first, last, F.expr("interval 1 day")), F.col("days"))
     return (
-        per_currency.select("quote_currency", "days")
-        .join(edge.alias("edge"), F.lit(True))
-        .select(
-            "quote_currency",
-            F.explode(F.array_except(F.sequence(lo, hi, F.expr("interval 1 day")), F.col("days"))).alias("rate_date"),
-        )
+        rates.groupBy("quote_currency")
+        .agg(F.collect_set("rate_date").alias("days"))
+        .select("quote_currency", F.explode(gaps).alias("rate_date"))
     )
 
 
