@@ -1,0 +1,225 @@
+"""Queries that go through files, tables on disk and streams, over the whole given tables.
+
+Each run works in a folder of its own under ``spark.checkpoint.dir`` (shared on a cluster); only
+where the session names none is a temporary one used.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from queries.commerce import Commerce
+from queries.registry import query
+from stratalake.plans import bronze, gold, ingest, silver
+from stratalake.plans.state import State
+from stratalake.session import checkpoint_dir
+from stratalake.sources import files, landing
+from stratalake.sources.lake import Lake
+from stratalake.sources.specs import DatasetSpec
+from stratalake.streaming import microbatch
+
+
+def _scratch(c: Commerce) -> str:
+    base = checkpoint_dir(c.spark, tempfile.gettempdir())
+    return f"{base.rstrip('/')}/stratalake-{uuid.uuid4().hex}"
+
+
+def _spec(dataset: str, kind: str = "jsonl", source: str = "postgres", **more) -> DatasetSpec:
+    return DatasetSpec(source, dataset, kind, **more)
+
+
+def _extra() -> dict:
+    return {"run_id": "load", "pipeline_name": "ingestion", "mode": "full_refresh", "extracted_at": "2024-02-01T00:00:00+00:00"}
+
+
+def _items(c: Commerce) -> DataFrame:
+    """Order lines whose update times tell all copies of a line apart."""
+    return c.raw("lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber as order_item_id", "l_orderkey as order_id", "l_partkey as product_id",
+        "cast(l_quantity as int) as quantity", "cast(l_extendedprice as decimal(12,2)) as unit_price",
+        "cast(cast(round(l_discount * 100) as int) as decimal(5,2)) as discount_pct",
+        "timestamp_micros(unix_micros(cast(l_shipdate as timestamp)) + cast(cast(l_extendedprice as decimal(12,2)) * 100 as bigint)) as updated_at")
+
+
+def _land_and_load(c: Commerce, lake: Lake) -> None:
+    orders = c.orders().withColumn("updated_at", F.col("order_date"))
+    tables = {
+        "orders": orders, "order_items": _items(c),
+        "products": c.products().withColumn("updated_at", F.lit("2024-01-01").cast("timestamp")),
+        "exchange_rates": c.rates().withColumn("updated_at", F.col("rate_date").cast("timestamp")),
+    }
+    for name, rows in tables.items():
+        spec = _spec(name)
+        landing.land_rows(rows, lake.landing, spec, "20240201T000000Z-00000001", 1_000_000, _extra())
+        bronze.load_bronze(c.spark, lake, spec)
+        silver.load_silver(c.spark, lake, name)
+
+
+@query("full_medallion_kpi", """
+    select year(o.order_date)::int as year, month(o.order_date)::int as month, shipping_country, category,
+      count(distinct order_id) as total_orders, count(distinct customer_id) as unique_customers,
+      cast(sum(quantity) as bigint) as total_items_sold,
+      cast(sum(cast(cast(cast(quantity * i.unit_price as decimal(16,2)) * (100 - discount_pct) * cast(0.01 as decimal(3,2)) as decimal(24,6))
+        * case when o.currency = 'USD' then cast(1 as decimal(12,6)) else coalesce(rate_to_usd, cast(1 as decimal(12,6))) end as decimal(14,2))) as decimal(16,2)) as total_revenue_usd
+    from (select l_orderkey as order_id, l_partkey as product_id, cast(l_quantity as int) as quantity,
+            cast(l_extendedprice as decimal(12,2)) as unit_price,
+            cast(cast(round(l_discount * 100) as int) as decimal(5,2)) as discount_pct from lineitem
+          qualify row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_extendedprice desc) = 1) i
+    join (select * from shop_orders where status in ('pending', 'paid', 'shipped', 'delivered', 'cancelled', 'returned')) o using (order_id)
+    left join rates on rate_date = cast(o.order_date as date) and quote_currency = o.currency
+    left join (select product_id, category from products where unit_price >= 0 and unit_cost >= 0) p using (product_id)
+    group by 1, 2, 3, 4""", "shop_orders rates products")
+def full_medallion_kpi(c: Commerce) -> DataFrame:
+    """Landed files, bronze, silver with quarantine and upsert, gold: the KPIs at the end."""
+    lake = Lake(_scratch(c), buckets=8)
+    _land_and_load(c, lake)
+    gold.build_gold(c.spark, lake)
+    return gold.gold_table(c.spark, lake, "kpi_monthly_sales").drop("updated_at")
+
+
+_EVENT_ROWS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _land_events(c: Commerce, lake: Lake, dataset: str = "events", limit_rows: int = 1_000) -> DatasetSpec:
+    """Events as five landed batches, one per type."""
+    spec = _spec(dataset)
+    for kind in ("click", "error", "purchase", "signup", "view"):
+        rows = c.raw("events").filter(F.col("event_type") == kind).select(*_EVENT_ROWS)
+        landing.land_rows(rows, lake.landing, spec, f"b-{kind}", limit_rows, _extra())
+    return spec
+
+
+@query("checksum_verify", """
+    select 'b-' || event_type as batch_id, count(*) as record_count, true as files_ok, true as rotated from events group by 1""")
+def checksum_verify(c: Commerce) -> DataFrame:
+    """Landed batches against their manifests; parts hold at most 100 rows."""
+    lake = Lake(_scratch(c))
+    spec = _land_events(c, lake, limit_rows=100)
+    manifests = landing.landed_batches(c.spark, lake.landing, spec)
+    folders = [landing.batch_path(lake.landing, spec, f"b-{k}") for k in ("click", "error", "purchase", "signup", "view")]
+    verdicts = landing.checksum_report(c.spark, manifests, folders).groupBy("batch_id").agg(
+        F.bool_and(F.col("verdict") == "ok").alias("files_ok"))
+    rotated = manifests.select("batch_id", "record_count", F.forall("data_files", lambda f: f["rows"] <= 100).alias("rotated"))
+    return rotated.join(verdicts, "batch_id")
+
+
+@query("bronze_rows", """
+    select cast(event_id as varchar) as event_id, event_type, props, cast(user_id as varchar) as user_id, 'postgres' as source_system,
+      'b-' || event_type as batch_id, timestamp '2024-02-01' as ingestion_timestamp, cast(null as varchar) as file_name, 'load' as run_id
+    from events""")
+def bronze_rows(c: Commerce) -> DataFrame:
+    """Landed rows as bronze keeps them: text and lineage. Loading again changes nothing."""
+    lake = Lake(_scratch(c))
+    spec = _land_events(c, lake)
+    bronze.load_bronze(c.spark, lake, spec)
+    bronze.load_bronze(c.spark, lake, spec)
+    return bronze.bronze_table(c.spark, lake, spec.dataset).drop("ts", "value")
+
+
+@query("bronze_checks", """
+    select 'events' as dataset, c as "check", true as passed from (values ('table_exists'), ('all_batches_loaded'),
+      ('row_counts_match_manifest'), ('lineage_columns_populated'), ('source_system_consistent')) v(c)
+    where (select count(*) from events) > 0""")
+def bronze_checks(c: Commerce) -> DataFrame:
+    lake = Lake(_scratch(c))
+    spec = _land_events(c, lake)
+    bronze.load_bronze(c.spark, lake, spec)
+    return bronze.bronze_checks(c.spark, lake, spec).drop("detail")
+
+
+@query("bronze_checks_after_loss", """
+    select 'events' as dataset, c as "check", c in ('table_exists', 'source_system_consistent') as passed, d as detail
+    from (select count(*) filter (where event_type = 'click' and value >= 20) as nulls from events),
+      lateral (values ('table_exists', null), ('all_batches_loaded', '4/5 landed batches present; missing b-view'),
+        ('row_counts_match_manifest', 'mismatches: b-click'), ('source_system_consistent', '0 rows with source_system other than ''postgres'''),
+        ('lineage_columns_populated', 'nulls: ingestion_timestamp ' || nulls || ', source_system 0, batch_id 0')) v(c, d)""")
+def bronze_checks_after_loss(c: Commerce) -> DataFrame:
+    """A table without one batch, with rows lost from another and lineage blanked in it."""
+    lake = Lake(_scratch(c))
+    spec = _land_events(c, lake)
+    manifests = landing.landed_batches(c.spark, lake.landing, spec)
+    kept = c.raw("events").filter("event_type <> 'view' and not (event_type = 'click' and value < 20)").selectExpr(
+        "concat('b-', event_type) as batch_id", "'postgres' as source_system",
+        "case when event_type <> 'click' then ts end as ingestion_timestamp")
+    exists = c.spark.range(1).selectExpr("'events' as dataset", "'table_exists' as check", "true as passed", "cast(null as string) as detail")
+    return exists.unionByName(bronze.manifest_checks(kept, manifests, "events")).unionByName(
+        bronze.lineage_checks(kept, "events", "postgres", False))
+
+
+@query("csv_files_to_bronze", """
+    select cast(p_partkey as varchar) as p_partkey, p_name || ', "' || p_brand || '"' as label, 'files' as source_system, true as has_file
+    from part""")
+def csv_files_to_bronze(c: Commerce) -> DataFrame:
+    """Parts written as quoted CSV files, judged, landed unchanged and loaded as text."""
+    root = _scratch(c)
+    lake = Lake(f"{root}/lake")
+    labels = c.raw("part").selectExpr("p_partkey", "concat(p_name, ', \"', p_brand, '\"') as label")
+    labels.repartition(4, "p_partkey").write.options(header=True, escape='"').csv(f"{root}/raw/parts")
+    spec = _spec("parts", "csv", "files", directory="parts", pattern="*.csv", required_columns=("p_partkey", "label"))
+    state = State(c.spark, lake)
+    ingest.ingest_files(c.spark, lake, state, spec, f"{root}/raw")
+    ingest.ingest_files(c.spark, lake, state, spec, f"{root}/raw")
+    bronze.load_bronze(c.spark, lake, spec)
+    table = bronze.bronze_table(c.spark, lake, "parts")
+    return table.select("p_partkey", "label", "source_system", F.col("file_name").isNotNull().alias("has_file"))
+
+
+@query("reviews_by_month", """
+    select strftime(review_date, '%Y-%m') as month, count(*) as n, count(distinct review_id) as ids from reviews group by 1""", "reviews")
+def reviews_by_month(c: Commerce) -> DataFrame:
+    """Reviews exported as monthly JSON and read back."""
+    path = f"{_scratch(c)}/reviews"
+    files.export_by_month(c.reviews(), "review_date", path)
+    back = c.spark.read.schema("review_id string, event_id bigint, month string").json(path)
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("review_id").alias("ids"))
+
+
+@query("ingest_two_windows", """
+    select 'b1' as run, count(*) as "rows" from events where ts <= timestamp '2024-01-10'
+    union all select 'b2', count(*) from events where ts > timestamp '2024-01-10' and ts <= timestamp '2024-01-31'
+    union all select 'bronze', count(*) from events where ts <= timestamp '2024-01-31'""")
+def ingest_two_windows(c: Commerce) -> DataFrame:
+    """Two incremental runs, the second from the watermark the first left."""
+    lake = Lake(_scratch(c))
+    state = State(c.spark, lake)
+    spec = _spec("events", watermark_col="ts", primary_key=("event_id",))
+    runs = []
+    for name, now in (("b1", datetime(2024, 1, 10, tzinfo=timezone.utc)), ("b2", datetime(2024, 1, 31, tzinfo=timezone.utc))):
+        done = ingest.ingest_table(c.spark, lake, state, spec, c.raw("events"), now=now, max_rows_per_file=1_000_000)
+        runs.append((name, done.records))
+    bronze.load_bronze(c.spark, lake, spec, state)
+    landed = c.spark.createDataFrame(runs, "run string, rows bigint")
+    loaded = bronze.bronze_table(c.spark, lake, "events").agg(F.lit("bronze").alias("run"), F.count(F.lit(1)).alias("rows"))
+    return landed.unionByName(loaded)
+
+
+@query("stream_bronze", "select 'b-' || event_type as batch_id, count(*) as n from events group by 1")
+def stream_bronze(c: Commerce) -> DataFrame:
+    """Landed batches followed by an available-now stream; a second run finds nothing new."""
+    root = _scratch(c)
+    lake = Lake(f"{root}/lake")
+    spec = _land_events(c, lake)
+    for _ in range(2):
+        microbatch.bronze_stream(c.spark, lake, spec, f"{root}/checkpoint").awaitTermination()
+    return bronze.bronze_table(c.spark, lake, spec.dataset).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_silver_upsert", """
+    select user_id, event_id, ts, event_type, value, props from events
+    qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
+def stream_silver_upsert(c: Commerce) -> DataFrame:
+    """Newest event per user, kept by micro-batches over files."""
+    root = _scratch(c)
+    c.raw("events").repartition(3, "event_type").write.parquet(f"{root}/arrivals")
+    stream = c.spark.readStream.schema(c.raw("events").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrivals")
+    microbatch.upsert_stream(
+        c.spark, stream, f"{root}/newest", ["user_id"], "ts", f"{root}/checkpoint", ("event_id",)
+    ).awaitTermination()
+    from stratalake.sources.lake import read_latest_version
+
+    return read_latest_version(c.spark, f"{root}/newest")

@@ -24,9 +24,5 @@ def get_session(app_name: str = "stratalake", master: str | None = None, **conf:
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The shared folder the cluster names, or ``fallback`` where it names none (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, or ``fallback`` (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or fallback

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.sources import fs
@@ -52,6 +52,11 @@ def new_files(files: DataFrame, ledger: DataFrame | None, full_refresh: bool = F
     return files.join(ledger.select("file_name", "sha256").distinct(), ["file_name", "sha256"], "left_anti")
 
 
+def _corrupt_rows(other: str) -> Column:
+    """Spark does not read ``_corrupt_record`` alone, so another column is counted along with it."""
+    return F.count(F.when(F.col("_corrupt_record").isNotNull(), F.coalesce(F.col(other), F.lit(""))))
+
+
 def _csv_verdicts(files: DataFrame, required: Sequence[str]) -> DataFrame:
     spark = files.sparkSession
     headers = [r.first_line for r in files.select("first_line").distinct().collect()]
@@ -72,9 +77,9 @@ def _csv_verdicts(files: DataFrame, required: Sequence[str]) -> DataFrame:
                 .options(header=True, multiLine=True, escape='"', columnNameOfCorruptRecord="_corrupt_record")
                 .csv(paths)
                 .groupBy(F.col("_metadata.file_name").alias("file_name"))
-                .agg(F.count(F.lit(1)).alias("n"), F.count("_corrupt_record").alias("bad"), F.count("_c0").alias("_c0"))
+                .agg(F.count(F.lit(1)).alias("n"), _corrupt_rows("_c0").alias("bad"))
             )
-    empty = spark.createDataFrame([], "file_name string, n bigint, bad bigint, _c0 bigint")
+    empty = spark.createDataFrame([], "file_name string, n bigint, bad bigint")
     for part in counts:
         empty = empty.unionByName(part)
     reason = (
@@ -96,8 +101,7 @@ def _json_verdicts(files: DataFrame) -> DataFrame:
             .options(multiLine=True, columnNameOfCorruptRecord="_corrupt_record")
             .json(paths)
             .groupBy(F.col("_metadata.file_name").alias("file_name"))
-            .agg(F.count(F.lit(1)).alias("n"), F.count("_corrupt_record").alias("bad"), F.count("_any").alias("_any"))
-            .drop("_any")
+            .agg(F.count(F.lit(1)).alias("n"), _corrupt_rows("_any").alias("bad"))
         )
     reason = (
         F.when(~F.col("is_utf8"), "not valid UTF-8")

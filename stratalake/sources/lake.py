@@ -7,7 +7,9 @@ recorded (silver) or complete (gold), so a half-written one is never read.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -69,6 +71,11 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def new_version() -> str:
+    """Sorts by time down to the microsecond; one writer per table is assumed."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%fZ}-{uuid.uuid4().hex[:8]}"
+
+
 def write_version(df: DataFrame, path: str, version: str) -> None:
     df.write.mode("errorifexists").parquet(f"{path}/version={version}")
 

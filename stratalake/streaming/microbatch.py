@@ -9,16 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.dedup import latest_per_key, upsert
 from stratalake.plans.bronze import load_bronze
 from stratalake.plans.silver import load_silver
-from stratalake.plans.state import State, utc_now
+from stratalake.plans.state import State
 from stratalake.sources import lake as tables
 from stratalake.sources.lake import Lake
-from stratalake.sources.landing import MANIFEST, MANIFEST_SCHEMA, new_batch_id
+from stratalake.sources.landing import MANIFEST, MANIFEST_SCHEMA
 from stratalake.sources.specs import DatasetSpec
 
 
@@ -82,7 +81,7 @@ def upsert_stream(
         newest = latest_per_key(micro, keys, order_col, ties)
         target = tables.read_latest_version(spark, path)
         result = newest if target is None else upsert(target, newest, keys, order_col)
-        tables.write_version(result, path, new_batch_id(utc_now()))
+        tables.write_version(result, path, tables.new_version())
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -90,7 +89,3 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def stream_counts(stream: DataFrame, by: Sequence[str]) -> DataFrame:
-    return stream.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
