@@ -14,6 +14,11 @@ def normal_code(code: Column) -> Column:
     return F.upper(F.trim(code))
 
 
+def decoded(uri: Column) -> Column:
+    """A path from Spark's ``_metadata``, where a space is written ``%20``, as it is on storage."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.functions.text import base_name, decoded
 from stratalake.sources import fs
 
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -28,7 +29,7 @@ def inspect_files(spark: SparkSession, directory: str, pattern: str) -> DataFram
         .option("pathGlobFilter", pattern)
         .load(directory)
         .select(
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            base_name(F.col("path")).alias("file_name"),
             F.sha2("content", 256).alias("sha256"),
             F.is_valid_utf8(F.col("content").cast("string")).alias("is_utf8"),
             F.rtrim(F.substring_index(text, "\n", 1), F.lit("\r")).alias("first_line"),
@@ -76,7 +77,7 @@ def _csv_verdicts(files: DataFrame, required: Sequence[str]) -> DataFrame:
                 spark.read.schema(", ".join([*columns, "_corrupt_record string"]))
                 .options(header=True, multiLine=True, escape='"', columnNameOfCorruptRecord="_corrupt_record")
                 .csv(paths)
-                .groupBy(F.col("_metadata.file_name").alias("file_name"))
+                .groupBy(decoded(F.col("_metadata.file_name")).alias("file_name"))
                 .agg(F.count(F.lit(1)).alias("n"), _corrupt_rows("_c0").alias("bad"))
             )
     empty = spark.createDataFrame([], "file_name string, n bigint, bad bigint")
@@ -100,7 +101,7 @@ def _json_verdicts(files: DataFrame) -> DataFrame:
             spark.read.schema("_any string, _corrupt_record string")
             .options(multiLine=True, columnNameOfCorruptRecord="_corrupt_record")
             .json(paths)
-            .groupBy(F.col("_metadata.file_name").alias("file_name"))
+            .groupBy(decoded(F.col("_metadata.file_name")).alias("file_name"))
             .agg(F.count(F.lit(1)).alias("n"), _corrupt_rows("_any").alias("bad"))
         )
     reason = (
@@ -144,7 +145,7 @@ def read_csv_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
         groups.setdefault(row.line.rstrip("\r"), []).append(row.path)
     rows = None
     for line in sorted(groups):
-        part = read_text_rows(spark, sorted(groups[line]), "csv").select("*", F.col("_metadata.file_path").alias("_path"))
+        part = read_text_rows(spark, sorted(groups[line]), "csv").select("*", decoded(F.col("_metadata.file_path")).alias("_path"))
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     return rows
 
