@@ -55,7 +55,7 @@ def _land_and_load(c: Commerce, lake: Lake) -> None:
     }
     for name, rows in tables.items():
         spec = _spec(name)
-        landing.land_rows(rows, lake.landing, spec, "20240201T000000Z-00000001", 1_000_000, _extra())
+        landing.land_rows(rows, lake.landing, spec, "20240201T000000Z-00000001", 100_000, _extra())
         bronze.load_bronze(c.spark, lake, spec)
         silver.load_silver(c.spark, lake, name)
 
@@ -102,10 +102,10 @@ def checksum_verify(c: Commerce) -> DataFrame:
     spec = _land_events(c, lake, limit_rows=100)
     manifests = landing.landed_batches(c.spark, lake.landing, spec)
     folders = [landing.batch_path(lake.landing, spec, f"b-{k}") for k in ("click", "error", "purchase", "signup", "view")]
-    verdicts = landing.checksum_report(c.spark, manifests, folders).groupBy("batch_id").agg(
+    verdicts = landing.checksum_report(c.spark, folders).groupBy("batch_id").agg(
         F.bool_and(F.col("verdict") == "ok").alias("files_ok"))
-    rotated = manifests.select("batch_id", "record_count", F.forall("data_files", lambda f: f["rows"] <= 100).alias("rotated"))
-    return rotated.join(verdicts, "batch_id")
+    rotated = landing.listed_files(c.spark, folders).groupBy("batch_id").agg((F.max("rows") <= 100).alias("rotated"))
+    return manifests.select("batch_id", "record_count").join(rotated, "batch_id").join(verdicts, "batch_id")
 
 
 @query("bronze_rows", """

@@ -25,8 +25,9 @@ def discount_or_zero(discount_pct: Column) -> Column:
 def line_amount(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """quantity x price less the discount per cent, unrounded."""
     gross = (quantity.cast("decimal(10,0)") * unit_price.cast("decimal(12,2)")).try_cast("decimal(16,2)")
+    # The kept fraction stays within 18 digits, where Spark computes on longs.
     kept_pct = _decimal("100", "decimal(5,2)") - discount_or_zero(discount_pct)
-    return (gross * kept_pct * _decimal("0.01", "decimal(3,2)")).try_cast("decimal(18,6)")
+    return (gross * (kept_pct * _decimal("0.01", "decimal(3,2)"))).try_cast("decimal(18,6)")
 
 
 def line_cents(cents: Column, quantity: Column, discount_pct: Column) -> Column:

@@ -126,8 +126,10 @@ def ingest_files(
             extra = {**extra, "watermark_to": since, "rejected_files": rejected}
             count = landing.land_files(judged, lake.landing, spec, batch_id, extra)
             records = judged.agg(F.coalesce(F.sum("record_count"), F.lit(0))).first()[0]
-            files = judged.filter("reason is null").select("file_name", "sha256", "record_count")
-            kept = spark.createDataFrame(files.collect(), files.schema) if count else None
+            kept = None
+            if count:
+                listed = landing.listed_files(spark, [landing.batch_path(lake.landing, spec, batch_id)])
+                kept = listed.selectExpr("name as file_name", "sha256", "rows as record_count")
         finally:
             judged.unpersist()
             fresh.unpersist()

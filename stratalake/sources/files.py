@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratalake.functions.text import base_name, decoded
 from stratalake.sources import fs
@@ -15,6 +16,10 @@ EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855
 BOM = "\ufeff"
 
 
+def _without_bom(content: Column) -> Column:
+    return F.ltrim(content.cast("string"), F.lit(BOM))
+
+
 def inspect_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """One row per matching file: path, file_name, size_bytes, sha256, is_utf8, first_line and the
     first and last visible characters. Executors read the bytes; the driver only lists names.
@@ -23,7 +28,7 @@ def inspect_files(spark: SparkSession, directory: str, pattern: str) -> DataFram
     """
     listed = fs.glob(spark, f"{directory.rstrip('/')}/{pattern}")
     names = spark.createDataFrame(listed, "path string, file_name string, size_bytes bigint")
-    text = F.regexp_replace(F.col("content").cast("string"), f"^{BOM}", "")
+    text, blank = _without_bom(F.col("content")), F.lit(" \t\r\n")
     read = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -33,8 +38,8 @@ def inspect_files(spark: SparkSession, directory: str, pattern: str) -> DataFram
             F.sha2("content", 256).alias("sha256"),
             F.is_valid_utf8(F.col("content").cast("string")).alias("is_utf8"),
             F.rtrim(F.substring_index(text, "\n", 1), F.lit("\r")).alias("first_line"),
-            F.regexp_extract(text, r"^\s*(\S)", 1).alias("opens"),
-            F.regexp_extract(text, r"(\S)\s*$", 1).alias("closes"),
+            F.left(F.ltrim(text, blank), F.lit(1)).alias("opens"),
+            F.right(F.rtrim(text, blank), F.lit(1)).alias("closes"),
         )
         if listed
         else spark.createDataFrame(
@@ -122,9 +127,15 @@ def file_verdicts(files: DataFrame, kind: str, required: Sequence[str] = ()) ->
     return judged.select("path", "file_name", "size_bytes", "sha256", count.alias("record_count"), "reason")
 
 
-def read_text_rows(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
-    """Landed rows with every primitive as text. Malformed rows show in ``_corrupt_record``."""
+def read_text_rows(spark: SparkSession, paths: Sequence[str], kind: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Landed rows with every primitive as text. Malformed rows show in ``_corrupt_record``.
+
+    JSON lines whose ``columns`` are known are read without a pass to find them out.
+    """
     reader = spark.read.option("columnNameOfCorruptRecord", "_corrupt_record")
+    if kind == "jsonl" and columns:
+        names = [*columns, "_corrupt_record"]
+        return reader.schema(StructType([StructField(n, StringType()) for n in names])).json(list(paths))
     if kind == "jsonl":
         return reader.option("primitivesAsString", True).json(list(paths))
     if kind == "json":
@@ -137,7 +148,7 @@ def read_csv_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     are put side by side by column name."""
     first = (
         spark.read.format("binaryFile").load(list(files))
-        .select("path", F.substring_index(F.regexp_replace(F.col("content").cast("string"), f"^{BOM}", ""), "\n", 1).alias("line"))
+        .select("path", F.substring_index(_without_bom(F.col("content")), "\n", 1).alias("line"))
         .collect()
     )
     groups: dict[str, list[str]] = {}

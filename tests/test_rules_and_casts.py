@@ -121,3 +121,14 @@ def test_lossless_refuses_what_json_cannot_say(spark):
     nan = spark.createDataFrame([(float("nan"),)], "v double")
     with pytest.raises(Exception, match="NaN"):
         lossless.lossless(nan).collect()
+
+
+@pytest.mark.parametrize("target", ["int", "bigint", "decimal(14,2)", "boolean", "date", "timestamp"])
+def test_the_guard_turns_nothing_away_that_the_cast_reads(spark, target):
+    texts = ["1", " 1 ", "\t-7\n", "+3", "12.7", "12.", ".5", "1e2", "-1E-2", "1 2", "", " ", "abc", "1-", "--1", "99999999999", "1e40",
+             "TRUE", " f ", "Yes", "no", "on", "0", "2025-01-15", "2025-1-5", "2025-01-15 10:00:00", "2025-01-15T10:00:00.5+02:00", "\x7f4", "٣", None]
+    raw = spark.createDataFrame([(t,) for t in texts], "v string")
+    schema = StructType.fromDDL(f"v {target}")
+    guarded = [r[0] for r in casting.typed(raw, schema).collect()]
+    plain = [r[0] for r in raw.select(F.col("v").try_cast(target)).collect()]
+    assert guarded == plain
