@@ -169,6 +169,69 @@ def csv_files_to_bronze(c: Commerce) -> DataFrame:
     return table.select("p_partkey", "label", "source_system", F.col("file_name").isNotNull().alias("has_file"))
 
 
+@query("json_files_to_bronze", """
+    select k, count(*) as n from (select json_extract_string(props, '$.k') as k from events) group by 1""")
+def json_files_to_bronze(c: Commerce) -> DataFrame:
+    """Event properties as JSON-array files of at most 500 records, through judging and landing."""
+    root = _scratch(c)
+    lake = Lake(f"{root}/lake")
+    arrays = c.raw("events").groupBy(F.expr("event_id div 500").alias("page")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("props"), ","), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/raw/props")
+    spec = _spec("props", "json", "files", directory="props", pattern="*.txt")
+    ingest.ingest_files(c.spark, lake, State(c.spark, lake), spec, f"{root}/raw")
+    bronze.load_bronze(c.spark, lake, spec)
+    return bronze.bronze_table(c.spark, lake, "props").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("file_ledger", """
+    select cast(count(*) as bigint) as record_count, true as all_known from part""")
+def file_ledger(c: Commerce) -> DataFrame:
+    """Files recorded as processed, and whether a second look finds any of them new."""
+    root = _scratch(c)
+    lake = Lake(f"{root}/lake")
+    c.raw("part").select("p_partkey", "p_name").repartition(4, "p_partkey").write.option("header", True).csv(f"{root}/raw/parts")
+    spec = _spec("parts", "csv", "files", directory="parts", pattern="*.csv", required_columns=("p_partkey",))
+    state = State(c.spark, lake)
+    ingest.ingest_files(c.spark, lake, state, spec, f"{root}/raw")
+    known = state.processed_files("files", "parts")
+    fresh = files.new_files(files.inspect_files(c.spark, f"{root}/raw/parts", "*.csv"), known)
+    return known.agg(F.sum("record_count").alias("record_count")).withColumn("all_known", F.lit(fresh.isEmpty()))
+
+
+_SILVER_PAYMENTS = """(select payment_id, order_id, payment_status, amount, concat_ws('; ',
+        case when amount < 0 then 'Negative payment amount' end,
+        case when payment_status not in ('pending', 'completed', 'failed', 'refunded') then 'Invalid payment status' end,
+        case when payment_status = 'completed' and paid_at is null then 'Completed payment without paid_at' end,
+        case when payment_method not in ('card', 'paypal', 'bank_transfer', 'apple_pay', 'gift_card') then 'Invalid payment method' end) as reason
+      from payments)"""
+
+
+def _load_payments(c: Commerce) -> Lake:
+    """Payments as two batches, the second repeating the completed ones of the first."""
+    lake = Lake(_scratch(c), buckets=8)
+    spec = _spec("payments")
+    rows = c.payments().withColumn("updated_at", F.col("created_at"))
+    for batch_id, part in (("b1", rows), ("b2", rows.filter("payment_status = 'completed'"))):
+        landing.land_rows(part, lake.landing, spec, batch_id, 100_000, _extra())
+        bronze.load_bronze(c.spark, lake, spec)
+        silver.load_silver(c.spark, lake, "payments", with_source_rules=True)
+    return lake
+
+
+@query("silver_payments", f"select payment_id, order_id, payment_status, amount from {_SILVER_PAYMENTS} where reason = ''", "payments")
+def silver_payments(c: Commerce) -> DataFrame:
+    table = silver.silver_table(c.spark, _load_payments(c), "payments")
+    return table.select("payment_id", "order_id", "payment_status", "amount")
+
+
+@query("silver_quarantine", f"""
+    select payment_id, reason as quarantine_reason, batch_id from {_SILVER_PAYMENTS}, (values ('b1'), ('b2')) b(batch_id)
+    where reason <> '' and (batch_id = 'b1' or payment_status = 'completed')""", "payments")
+def silver_quarantine(c: Commerce) -> DataFrame:
+    return silver.quarantine_table(c.spark, _load_payments(c), "payments").select("payment_id", "quarantine_reason", "batch_id")
+
+
 @query("reviews_by_month", """
     select strftime(review_date, '%Y-%m') as month, count(*) as n, count(distinct review_id) as ids from reviews group by 1""", "reviews")
 def reviews_by_month(c: Commerce) -> DataFrame:

@@ -151,6 +151,13 @@ def measures_by_country(c: Commerce) -> DataFrame:
     return measures.sales_measures(_fact(c), ["shipping_country"]).drop("average_order_value_usd")
 
 
+@query("measures_by_month", f"""
+    select order_date_key // 100 as year_month, {_MEASURES} from fact group by 1""", "fact")
+def measures_by_month(c: Commerce) -> DataFrame:
+    dated = _fact(c).withColumn("year_month", F.floor(F.col("order_date_key") / 100).cast("int"))
+    return measures.sales_measures(dated, ["year_month"]).drop("average_order_value_usd")
+
+
 @query("average_order_value", """
     select shipping_country, cast(coalesce(round(cast(sum(line_total_usd) as double) / count(distinct order_id), 3), 0) as double) as aov
     from fact group by 1""", "fact")
@@ -638,6 +645,18 @@ def dup_email_case(c: Commerce) -> DataFrame:
     return detect.email_case_duplicates(c.contacts())
 
 
+@query("same_person_latest", """
+    select email, event_id from (select lower(trim(email)) as email, event_id, ts from (select event_id, ts,
+        case when event_type in ('error', 'signup') then upper(' user' || user_id || '@shop.example') else 'user' || user_id || '@shop.example' end as email from events))
+    qualify row_number() over (partition by email order by ts desc, event_id desc) = 1""")
+def same_person_latest(c: Commerce) -> DataFrame:
+    """One record per address once case and blanks are ignored: the newest."""
+    seen = c.raw("events").selectExpr("event_id", "ts", """case when event_type in ('error', 'signup')
+        then upper(concat(' user', user_id, '@shop.example')) else concat('user', user_id, '@shop.example') end as email""")
+    same = seen.withColumn("email", text.normal_email(F.col("email")))
+    return dedup.latest_per_key(same, ["email"], "ts", ("event_id",)).select("email", "event_id")
+
+
 @query("duplicate_excess", """
     select cast(coalesce(sum(n - 1), 0) as bigint) as excess from (select count(*) as n from contacts group by lower(email) having count(*) > 1)""", "contacts")
 def duplicate_excess(c: Commerce) -> DataFrame:

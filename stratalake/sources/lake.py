@@ -8,9 +8,11 @@ recorded (silver) or complete (gold), so a half-written one is never read.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +63,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def batches_present(spark: SparkSession, path: str) -> DataFrame:
+    """``batch_id`` of every partition of a table, from its folders: no data file is opened."""
+    ids = [(unquote(name.removeprefix("batch_id=")),) for name in fs.glob_names(spark, f"{path}/batch_id=*")]
+    return spark.createDataFrame(ids, "batch_id string")
+
+
+def read_partitions(spark: SparkSession, path: str, batch_ids: Sequence[str]) -> DataFrame:
+    """The given batches of a table. Only their folders are listed and only their schemas merged."""
+    text_partitions(spark)
+    folders = [f"{path}/batch_id={quote(b, safe=' ')}" for b in batch_ids]
+    return spark.read.options(basePath=path, mergeSchema=True).parquet(*folders)
+
+
 def write_batches(df: DataFrame, path: str) -> None:
     """Replace the ``batch_id`` partitions present in ``df``: writing a batch again is harmless."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
