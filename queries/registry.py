@@ -195,11 +195,11 @@ def prior_year_revenue(c: Commerce) -> DataFrame:
 
 @query("yoy_growth", """
     select n.year, n.month,
-      round(coalesce(cast(n.revenue_usd - p.revenue_usd as double) / nullif(cast(p.revenue_usd as double), 0), 0), 4) as growth
+      cast(coalesce(cast(n.revenue_usd - p.revenue_usd as double) / nullif(cast(p.revenue_usd as double), 0), 0) as decimal(18,4)) as growth
     from monthly n left join monthly p on p.year = n.year - 1 and p.month = n.month""", "monthly")
 def yoy_growth(c: Commerce) -> DataFrame:
     grown = measures.yoy_growth(measures.monthly_revenue(_fact(c)))
-    return grown.select("year", "month", F.round(F.col("yoy_growth").cast("double"), 4).alias("growth"))
+    return grown.select("year", "month", F.col("yoy_growth").cast("decimal(18,4)").alias("growth"))
 
 
 # ------------------------------------------------------- typed layer operators

@@ -88,5 +88,5 @@ def yoy_growth(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Growth over the prior year as a fraction; 0 where there is nothing to compare with."""
     now, before = F.col("revenue_usd"), F.col("prior_year_revenue_usd")
     return prior_year_revenue(monthly, by).withColumn(
-        "yoy_growth", ratio_or_zero(now - before, before).cast("decimal(18,6)")
+        "yoy_growth", ratio_or_zero(now - before, before).cast("decimal(20,10)")
     )
