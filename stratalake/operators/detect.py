@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.money import line_amount, to_money
@@ -127,14 +127,20 @@ def orders_before_customer(orders: DataFrame, customers: DataFrame) -> DataFrame
 
 def missing_rate_days(rates: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Days of the calendar a currency has no rate for, between the given or the overall first and
-    last rate day. What is kept per currency is its set of days, bounded by the calendar."""
-    first = F.lit(start).cast("date") if start else rates.agg(F.min("rate_date")).scalar()
-    last = F.lit(end).cast("date") if end else rates.agg(F.max("rate_date")).scalar()
-    gaps = F.array_except(F.sequence(first, last, F.expr("interval 1 day")), F.col("days"))
-    return (
-        rates.groupBy("quote_currency")
-        .agg(F.collect_set("rate_date").alias("days"))
-        .select("quote_currency", F.explode(gaps).alias("rate_date"))
+    last rate day.
+
+    Rates are read once and combined into a row per currency with its set of days; what follows
+    works on those few rows, bounded by currencies and calendar days however many rates there are.
+    """
+    per_currency = rates.groupBy("quote_currency").agg(
+        F.min("rate_date").alias("first"), F.max("rate_date").alias("last"), F.collect_set("rate_date").alias("days")
+    )
+    all_currencies = Window.partitionBy()
+    first = F.lit(start).cast("date") if start else F.min("first").over(all_currencies)
+    last = F.lit(end).cast("date") if end else F.max("last").over(all_currencies)
+    return per_currency.select("quote_currency", "days", first.alias("lo"), last.alias("hi")).select(
+        "quote_currency",
+        F.explode(F.array_except(F.sequence("lo", "hi", F.expr("interval 1 day")), "days")).alias("rate_date"),
     )
 
 

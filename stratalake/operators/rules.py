@@ -37,7 +37,8 @@ def key_rules(keys: Sequence[str]) -> tuple[Rule, ...]:
     return tuple(Rule(f"Primary key {k} is null", f"{k} is not null", (k,)) for k in keys)
 
 
-# What each dataset's rows must satisfy on their way into the typed layer.
+# What each dataset's rows must satisfy on their way into the typed layer. Bounds and messages are
+# fixed values.
 DATASET_RULES: dict[str, tuple[Rule, ...]] = {
     "customers": (
         Rule("Invalid email format", f"email rlike r'{EMAIL_PATTERN}'", ("email",)),
