@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import apply_settings
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -18,7 +20,7 @@ class Commerce:
     """Datasets derived from the tables of one directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = apply_settings(spark), sf_dir
 
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)

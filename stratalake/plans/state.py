@@ -55,12 +55,12 @@ class State:
         row = self.watermarks().filter((F.col("source_system") == source) & (F.col("dataset") == dataset)).first()
         return row.watermark if row else None
 
-    def _record(self, kind: str, source: str, dataset: str, watermark: str | None, batch_id: str | None, run_id: str) -> DataFrame:
-        row = (kind, source, dataset, watermark, None, None, None, batch_id, run_id, utc_now())
+    def _watermark(self, source: str, dataset: str, watermark: str | None, batch_id: str | None, run_id: str) -> DataFrame:
+        row = ("watermark", source, dataset, watermark, None, None, None, batch_id, run_id, utc_now())
         return self.spark.createDataFrame([row], EXTRACTION_SCHEMA)
 
     def reset_watermark(self, source: str, dataset: str) -> None:
-        tables.append(self._record("watermark", source, dataset, None, None, "reset"), self._extractions)
+        tables.append(self._watermark(source, dataset, None, None, "reset"), self._extractions)
 
     def processed_files(self, source: str, dataset: str) -> DataFrame:
         log = self.extractions().filter("kind = 'file'")
@@ -79,16 +79,17 @@ class State:
         """Advance the watermark (kept when None) and record the landed files in one append."""
         records = []
         if watermark is not None:
-            records.append(self._record("watermark", source, dataset, watermark, batch_id, run_id))
+            records.append(self._watermark(source, dataset, watermark, batch_id, run_id))
         if files is not None:
-            base = self._record("file", source, dataset, None, batch_id, run_id).drop("file_name", "sha256", "record_count")
-            fixed = base.first()
             records.append(
-                files.select("file_name", "sha256", "record_count").withColumns(
-                    {name: F.lit(fixed[name]).cast(base.schema[name].dataType) for name in base.columns}
+                files.select(
+                    F.lit("file").alias("kind"), F.lit(source).alias("source_system"), F.lit(dataset).alias("dataset"),
+                    F.lit(None).cast("string").alias("watermark"), "file_name", "sha256", "record_count",
+                    F.lit(batch_id).alias("batch_id"), F.lit(run_id).alias("run_id"), F.lit(utc_now()).alias("updated_at"),
                 )
             )
         if records:
+            # One file, so one rename: the records appear together or not at all.
             tables.append(tables.union_all(records).coalesce(1), self._extractions)
 
     # -------------------------------------------------------------------- audit

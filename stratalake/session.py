@@ -23,6 +23,13 @@ def get_session(app_name: str = "stratalake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Our settings on a session someone else built; all of them can be changed while it runs."""
+    for key, value in SESSION_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``, or ``fallback`` (tests)."""
     return spark.conf.get("spark.checkpoint.dir", None) or fallback

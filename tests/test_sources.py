@@ -162,6 +162,11 @@ def test_jdbc_window():
     assert options["dbtable"] == f"({query}) AS src" and options["numPartitions"] == "8" and options["fetchsize"] == "500"
 
 
+def test_edge_order(spark):
+    df = spark.createDataFrame([(2, 1), (1, 2), (1, 1)], "w int, k int")
+    assert [tuple(r) for r in jdbc.edge_order(df, "w", ["k"]).collect()] == [(1, 1), (1, 2), (2, 1)]
+
+
 def test_layout():
     lake = Lake("s3a://bucket/prefix/")
     assert lake.table_path("silver", "orders") == "s3a://bucket/prefix/silver/orders"
