@@ -20,7 +20,7 @@ from stratalake.plans.state import State
 from stratalake.session import checkpoint_dir
 from stratalake.sources import files, landing
 from stratalake.sources.lake import Lake
-from stratalake.sources.specs import DatasetSpec
+from stratalake.sources.specs import DatasetSpec, TypedSpec
 from stratalake.streaming import microbatch
 
 
@@ -280,9 +280,6 @@ def stream_silver_upsert(c: Commerce) -> DataFrame:
     root = _scratch(c)
     c.raw("events").repartition(3, "event_type").write.parquet(f"{root}/arrivals")
     stream = c.spark.readStream.schema(c.raw("events").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrivals")
-    microbatch.upsert_stream(
-        c.spark, stream, f"{root}/newest", ["user_id"], "ts", f"{root}/checkpoint", ("event_id",)
-    ).awaitTermination()
-    from stratalake.sources.lake import read_latest_version
-
-    return read_latest_version(c.spark, f"{root}/newest")
+    lake, spec = Lake(f"{root}/lake", buckets=8), TypedSpec("newest_events", ("user_id",), "ts", "user_id bigint")
+    microbatch.upsert_stream(c.spark, lake, stream, spec, f"{root}/checkpoint", ("event_id",)).awaitTermination()
+    return silver.silver_table(c.spark, lake, spec.dataset)

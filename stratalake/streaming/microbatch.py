@@ -11,14 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stratalake.operators.dedup import latest_per_key, upsert
+from stratalake.operators.dedup import LINEAGE_TIES
 from stratalake.plans.bronze import load_bronze
-from stratalake.plans.silver import load_silver
+from stratalake.plans.silver import load_silver, upsert_rows
 from stratalake.plans.state import State
 from stratalake.sources import lake as tables
 from stratalake.sources.lake import Lake
 from stratalake.sources.landing import MANIFEST, MANIFEST_SCHEMA
-from stratalake.sources.specs import DatasetSpec
+from stratalake.sources.specs import DatasetSpec, TypedSpec
 
 
 def bronze_stream(
@@ -72,16 +72,13 @@ def silver_stream(
 
 
 def upsert_stream(
-    spark: SparkSession, stream: DataFrame, path: str, keys: Sequence[str], order_col: str,
-    checkpoint: str, ties: Sequence[str] = (),
+    spark: SparkSession, lake: Lake, stream: DataFrame, spec: TypedSpec, checkpoint: str, ties: Sequence[str] = LINEAGE_TIES
 ) -> StreamingQuery:
-    """Keep the newest row per key of a stream in versioned parquet at ``path``."""
+    """Keep the newest row per key of a stream of typed rows in a silver table. Each micro-batch
+    rewrites the key buckets it touches; one that is replayed upserts the same rows again."""
 
-    def apply(micro: DataFrame, _: int) -> None:
-        newest = latest_per_key(micro, keys, order_col, ties)
-        target = tables.read_latest_version(spark, path)
-        result = newest if target is None else upsert(target, newest, keys, order_col)
-        tables.write_version(result, path, tables.new_version())
+    def apply(micro: DataFrame, epoch: int) -> None:
+        upsert_rows(spark, lake, spec, micro, f"epoch-{epoch}", ties)
 
     return (
         stream.writeStream.foreachBatch(apply)
