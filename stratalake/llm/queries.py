@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import compression, decontaminate, packing, quality_rules, sharding, url_filter
+from stratalake.llm import compression, decontaminate, jaccard_join, packing, quality_rules, sharding, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,11 +46,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op7_url_filter")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.report(table(spark, sf_dir, "pages"))
