@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import compression, decontaminate, jaccard_join, packing, quality_rules, sharding, suffix_dedup, url_filter
+from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_model, packing, quality_rules, sharding, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(table(spark, sf_dir, "pages"))
+
+
+@query("op3_language_model")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
