@@ -6,8 +6,9 @@
   can't divide the whole space (see README for figures). Sets of one shingle can: a document is nearer
   than 1 exactly to its own shingles, and these ties are broken by one fixed order, least frequent first.
   By the triangle inequality a partner within the threshold can miss at most a share of a
-  document's nearest pivots, so a document is put into the regions of its first
-  ``n - ceil(threshold * n) + 1`` pivots, and two documents that link always meet in a region.
+  document's nearest pivots: of its first ``n - ceil(threshold * n) + 1 + m`` pivots, a partner has
+  at least ``m + 1`` among its own. A document is put into the regions of these pivots; documents that meet
+  others in fewer than ``m + 1`` regions have no partner and leave, until no more do.
 * **Documents as pivots.** Inside a region, documents are close, and document pivots divide it: a region
   is compared with one pivot first; regions whose members are by then in one component need
   nothing more. Small regions are then compared pair by pair. Large ones take more pivots: each
@@ -45,6 +46,8 @@ from stratalake.llm.scratch import stored
 from stratalake.llm.textkeys import flagged, text_key
 
 SKETCH, BLOCK, SMALL, PIVOTS, MOST_PIVOTS = 1 << 18, 1024, 12, 4, 64
+#: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
+MEETINGS, LEAVING = 8, 3
 
 
 def row_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -96,7 +99,8 @@ def points(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFram
                     n = len(s)
                     sizes.append(n)
                     sids.append((int(s.sum()) + 3 * int(np.bitwise_xor.reduce(s)) + n) % (1 << 64) if n else 0)
-                    first = np.argsort(sketch[(s & np.uint64(SKETCH - 1)).astype(np.int64)], kind="stable")[: n + (percent * n) // -100 + 1 if n else 0]
+                    least = -(percent * n // -100)  # shingles that a partner has
+                    first = np.argsort(sketch[(s & np.uint64(SKETCH - 1)).astype(np.int64)], kind="stable")[: n - least + min(MEETINGS, least)]
                     nearest.append(W.signed(s[first]))
                 keys = W.signed(W.mix(np.array(sids, np.uint64)))
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in nearest])]).astype(np.int32)
@@ -107,16 +111,30 @@ def points(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFram
     return seen.mapInArrow(place, "id bigint, text_key bigint, sid bigint, n bigint, pivots array<bigint>")
 
 
-def regions(placed: DataFrame) -> DataFrame:
-    """Members (region, sid, n) of every region of a shingle that holds two sets or more.
+def regions(placed: DataFrame, percent: int) -> DataFrame:
+    """Members (region, sid, n) of the regions where sets may meet partners.
 
     Of regions with the same members, one is kept.
     """
     sets = placed.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("pivots").alias("pivots"))
-    postings = sets.select("sid", "n", F.explode("pivots").alias("region"))
-    counted = postings.groupBy("region").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sid")).alias("who"), F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("c > 1")
+    sets = stored(sets, "pivots")
+    members = sets.select("sid", F.explode("pivots").alias("region"))
+    need = F.least(F.lit(MEETINGS), F.ceil(F.lit(percent) * F.col("n") / 100))
+    for k in range(LEAVING):
+        shared = members.groupBy("region").agg(F.count("*").alias("c")).where("c > 1").select("region")
+        members = stored(members.join(shared, "region").select("sid", "region"), "meetings")
+        staying = members.groupBy("sid").agg(F.count("*").alias("k")).join(sets.select("sid", "n"), "sid").where(F.col("k") >= need).select("sid", "n")
+        if k == LEAVING - 1:
+            return _different(stored(members.join(staying, "sid"), "members"))
+        members = members.join(staying.select("sid"), "sid")
+    raise AssertionError("LEAVING is 1 at least")
+
+
+def _different(members: DataFrame) -> DataFrame:
+    """The regions with two members or more, one of each group of regions with equal members."""
+    counted = members.groupBy("region").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sid")).alias("who"), F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("c > 1")
     kept = counted.groupBy("c", "who", "lo", "hi").agg(F.min("region").alias("region"))
-    return postings.join(kept.select("region"), "region")
+    return members.join(kept.select("region"), "region").select("region", "sid", "n")
 
 
 def surviving_sets(docs: DataFrame, placed: DataFrame, members: DataFrame, size: int) -> DataFrame:
@@ -191,7 +209,7 @@ def components_of(docs: DataFrame, size: int = 4, percent: int = 85, id_column:
     component (the smallest id reachable by links)."""
     docs = docs.select(id_column, "text")
     placed = stored(points(docs, size, percent, id_column), "points")
-    members = stored(regions(placed), "regions")
+    members = stored(regions(placed, percent), "regions")
     sets = stored(surviving_sets(docs, placed, members, size), "sets")
     found = links(members, sets, percent)
     least = placed.where("n > 0").groupBy("sid").agg(F.min("id").alias("id"))

@@ -84,7 +84,8 @@ class Vocabulary:
 
     def __init__(self, counts: DataFrame):
         self.total, self.distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-        top = counts.orderBy(F.col("c").desc(), "h").limit(TOP).toArrow()
+        end = F.col("h") == int(W.signed(np.array([END]))[0])
+        top = counts.orderBy(end.desc(), F.col("c").desc(), "h").limit(TOP).toArrow()
         h, c = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
         own = np.arange(len(h)) < OWN - 1
         own[h == END] = False
