@@ -1,0 +1,78 @@
+"""Quality rules and the compression classifier: counts by brute force, verdicts by held-out accuracy."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from stratalake.llm import compression, quality_rules
+from stratalake.llm.queries import table as given
+from stratalake.llm.training import fit_logistic, sigmoid
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_counts(text):
+    t = text or ""
+    w = WORD.findall(t)
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    times = Counter(windows)
+    inside = {i + k for i, x in enumerate(windows) if times[x] > 1 for k in range(3)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(inside)
+
+
+def odd_texts():
+    rng = random.Random(9)
+    bits = ["a", "b", "é", "日", " ", "\n", "  ", "\r\n", "#", "*|", "a b c ", "\t"]
+    return [None, "", "\n", "a b c a b c", "x\nx\n\nx ", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(80))]
+
+
+def test_counts_like_brute_force():
+    texts = odd_texts()
+    got = quality_rules.Texts(pa.array(texts)).counts()
+    for k, text in enumerate(texts):
+        assert tuple(int(got[c][k]) for c in quality_rules.COUNTS) == brute_counts(text), repr(text)
+
+
+def test_logistic_fit():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 2))
+    y = (rng.random(4000) < sigmoid(2 * x[:, 0] - 1)).astype(float)
+    w = fit_logistic(x * [1, 1e6], y)
+    assert np.allclose(w * [1, 1e6, 1], [2, 0, -1], atol=0.2)
+    assert np.allclose(fit_logistic(x, np.ones(4000))[:2], 0)
+    assert np.allclose(fit_logistic(np.zeros((0, 2)), np.zeros(0)), 0)
+
+
+@pytest.mark.parametrize("operator", [quality_rules, compression])
+def test_nulls_repeats_and_missing_labels(table, spark, operator):
+    docs = table([(None, "a b"), (1, None), (1, None), (2, ""), (3, "word " * 60), (4, "long one " * 100_000)])
+    labels = spark.createDataFrame([(3, 1, 0), (3, None, 0), (None, 0, 0), (77, 0, 1)], "doc_id bigint, quality int, toxic int")
+    got = operator.report(docs, labels).collect()
+    assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
+    assert operator.report(docs, labels.limit(0)).count() == 6 and operator.report(docs.limit(0), labels).count() == 0
+
+
+def test_held_out_accuracy_of_compression(spark):
+    docs, labels = given(spark, SF, "documents"), given(spark, SF, "labels")
+    got = compression.report(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    good = [r.predicted for r in got if r.quality == 1]
+    assert len(got) > 50 and np.mean(good) > 0.95
+    pairs = [(a.score > b.score) + 0.5 * (a.score == b.score) for a in got if a.quality == 1 for b in got if b.quality == 0]
+    assert np.mean(pairs) > 0.85
+
+
+def test_quality_rules_keep_good_documents_and_drop_bad_ones(spark):
+    docs, labels = given(spark, SF, "documents"), given(spark, SF, "labels")
+    got = quality_rules.report(docs, labels).join(labels, "doc_id").collect()
+    good = [r.kept for r in got if r.quality == 1 and not r.base_failed]
+    assert np.mean(good) > 0.98
+    assert np.mean([r.kept for r in got if r.quality == 0]) < 0.1
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in got[:100]:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_counts(texts[r.doc_id])
