@@ -13,11 +13,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tests", "local[4]",
         **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
-           "spark.driver.host": "127.0.0.1", "spark.driver.bindAddress": "127.0.0.1"},
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.driver.host": "127.0.0.1", "spark.driver.bindAddress": "127.0.0.1"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
