@@ -10,8 +10,8 @@ document or another. Suffixes of all documents are sorted in partitions:
 * Stretches with equal anchors come to one partition, which sorts their suffixes in two stages, compares
   neighbours' common prefixes (``suffixes.repeated``), and returns the runs of repeated windows.
 * An anchor with more than ``HOT`` different stretches (one passage in many contexts) would not stay
-  in one partition of bounded size: windows of its stretches are dealt out by their fingerprints,
-  counted, and joined back.
+  in one partition of bounded size: the windows of its stretches are compared by fingerprint, first
+  within each task, which settles most, then what is left of each task, dealt out by fingerprint.
 
 What is decided follows from a text and the number of its copies alone, so places are known by text_key.
 
@@ -127,17 +127,64 @@ def _sorted(length: int):
     return sort
 
 
-def _windows(length: int):
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in W.slices(batch, "bytes", W.SLICE_BYTES // 8):
-                found = []
-                for s in part.column(part.schema.get_field_index("bytes")).to_pylist():
-                    text = suffixes.Strings([s], length)
-                    found.append(W.signed(text.prints(np.arange(len(s) - length + 1))))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.int64()))], ["content", "count", "prints"])
+HOT_ROWS = "content bigint, runs array<struct<a:int,b:int>>, bucket int, prints array<bigint>, owners array<bigint>, starts array<int>"
+
+
+def _runs(owner: np.ndarray, start: np.ndarray) -> tuple[list[int], list[list[dict]]]:
+    """Owners, and the runs of successive starts of each; the input is in order of owner and start."""
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)]))
+    ends = np.append(new[1:], len(owner)) - 1
+    out: dict[int, list[dict]] = {}
+    for a, b in zip(new.tolist(), ends.tolist()) if len(owner) else ():
+        out.setdefault(int(owner[a]), []).append({"a": int(start[a]), "b": int(start[b]) + 1})
+    return list(out), list(out.values())
 
-    return prints
+
+def _hot_windows(length: int, buckets: int):
+    """Of hot stretches: runs of windows that repeat within the batch, and of all other windows, and once of
+    those that repeat, the fingerprints, dealt out to buckets."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.slices(batch, "bytes"):
+                bodies, count = part.column(2).to_pylist(), part.column(1).to_numpy()
+                text = suffixes.Strings(bodies, length)
+                at = np.flatnonzero(text.left >= length)
+                prints, which = np.unique(text.prints(at), return_inverse=True)
+                owner = text.owner[at]
+                times = np.bincount(which, count[owner])
+                start = at - text.starts[owner]
+                content = part.column(0).to_numpy()[owner]
+                many = times[which] > 1
+                found, runs = _runs(content[many], start[many])
+                first = np.full(len(prints), -1)
+                first[which[::-1]] = np.arange(len(at))[::-1]
+                bucket = (prints % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)) if len(order) else []
+                groups = np.split(order, cuts[1:]) if len(order) else []
+                n, m = len(found), len(groups)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([*found, *[None] * m], pa.int64()),
+                    pa.array([*runs, *[None] * m], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+                    pa.array([*[None] * n, *(int(bucket[g[0]]) for g in groups)], pa.int32()),
+                    pa.array([*[None] * n, *(W.signed(prints[g]) for g in groups)], pa.list_(pa.int64())),
+                    pa.array([*[None] * n, *(content[first[g]] for g in groups)], pa.list_(pa.int64())),
+                    # a window that repeats here is known to repeat: it only tells the others
+                    pa.array([*[None] * n, *(np.where(times[g] > 1, -1, start[first[g]]) for g in groups)], pa.list_(pa.int32()))],
+                    ["content", "runs", "bucket", "prints", "owners", "starts"])
+
+    return deal
+
+
+def _hot_bucket(table: pa.Table) -> pa.Table:
+    prints, owners, starts = (np.concatenate([np.zeros(0, np.int64), *(x.values.to_numpy() for x in table[c])]) for c in ("prints", "owners", "starts"))
+    _, which, times = np.unique(prints, return_inverse=True, return_counts=True)
+    told = np.bincount(which, starts < 0)
+    hit = ((times > 1) | (told > 0))[which] & (starts >= 0)
+    order = np.lexsort((starts[hit], owners[hit]))
+    found, runs = _runs(owners[hit][order], starts[hit][order])
+    return pa.table({"content": pa.array(found, pa.int64()), "runs": pa.array(runs, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))})
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -159,11 +206,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     kind = "content bigint, runs array<struct<a:int,b:int>>"
     found = bodies.where("not hot").select("part", "content", "count", "bytes").groupBy("part").applyInArrow(_sorted(length), kind)
     if not hot.isEmpty():
-        windows = stored(bodies.where("hot").select("content", "count", "bytes").mapInArrow(_windows(length), "content bigint, count bigint, prints array<bigint>"), "windows")
-        single = windows.select("content", "count", F.posexplode("prints").alias("a", "print"))
-        twice = single.groupBy("print").agg(F.sum("count").alias("n")).where("n > 1").select("print")
-        again = single.join(twice, "print").groupBy("content").agg(F.collect_list(F.struct("a", (F.col("a") + 1).alias("b"))).alias("runs"))
-        found = found.unionAll(again)
+        size = contents.join(hot, "anchor", "left_semi").agg(F.sum("size")).first()[0]
+        dealt = bodies.where("hot").select("content", "count", "bytes").mapInArrow(_hot_windows(length, max(1, math.ceil(size / PART_BYTES))), HOT_ROWS)
+        dealt = stored(dealt, "windows")
+        found = found.unionAll(dealt.where("bucket is null").select("content", "runs")).unionAll(
+            dealt.where("bucket is not null").groupBy("bucket").applyInArrow(_hot_bucket, kind))
     found = stored(found, "runs")
     met = places.select("text_key", "content", "places").join(found, "content")
     one = met.select("text_key", F.explode("places").alias("p"), "runs").select(
