@@ -45,7 +45,7 @@ from stratalake.llm import words as W
 from stratalake.llm.scratch import stored
 from stratalake.llm.textkeys import flagged, text_key
 
-SKETCH, BLOCK, SMALL, PIVOTS, MOST_PIVOTS = 1 << 18, 1024, 12, 4, 64
+SKETCH, BLOCK, SMALL, PIVOTS, MOST_PIVOTS = 1 << 18, 1024, 32, 16, 64
 #: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
 MEETINGS, LEAVING = 8, 3
 
@@ -175,7 +175,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         live = stored(rooted.join(mixed, "region"), "mixed")
         if live.isEmpty():
             return found
-        few = 1 if level == 0 else min(MOST_PIVOTS, PIVOTS << (level - 1))
+        few = 1 if level == 0 else min(MOST_PIVOTS, PIVOTS << (2 * level - 2))
         rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid", F.lit(level)), "sid"))
         most = max(few, SMALL)
         chosen = live.withColumn("rank", rank).where(F.col("rank") <= most)
