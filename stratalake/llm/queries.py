@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_model, packing, quality_rules, sharding, suffix_dedup, url_filter
+from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_model, packing, quality_rules, sharding, sql, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,17 +31,17 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, text: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
+        if text is not None:
+            SQL[name] = text
         return fn
 
     return register
 
 
-@query("op1_decontamination")
+@query("op1_decontamination", sql.DECONTAMINATION)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -56,7 +56,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("op4_jaccard_join")
+@query("op4_jaccard_join", sql.JACCARD_JOIN)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -66,7 +66,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
-@query("op6_suffix_dedup")
+@query("op6_suffix_dedup", sql.SUFFIX_DEDUP)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
