@@ -44,4 +44,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.registry.oracle_sql()) == set(entry.registry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
