@@ -122,15 +122,27 @@ def dim_country(c: Commerce) -> DataFrame:
     "fact countries products")
 def star_join_region_sales(c: Commerce) -> DataFrame:
     wide = star.star_join(
-        _fact(c), star.dim_customer(c.customers()), star.dim_product(c.products()), star.dim_country(c.countries()),
-        star.dim_date(c.spark, "1995-01-01", "2001-12-31"),
-    )
-    return (
-        wide.filter("product_is_active")
-        .groupBy(F.col("country_region").alias("region"), F.col("date_is_weekend").alias("is_weekend"),
-                 F.col("customer_segment").alias("segment"))
-        .agg(F.sum("line_total_usd").cast("decimal(18,2)").alias("usd"), F.count(F.lit(1)).alias("lines"))
-    )
+        _fact(c), None, star.dim_product(c.products()), star.dim_country(c.countries()), star.dim_date_covering(c.raw("orders"), "o_orderdate"))
+    active = wide.filter("product_is_active").withColumnsRenamed({"country_region": "region", "date_is_weekend": "is_weekend"})
+    return star.sales_by_customer_attributes(active, star.dim_customer(c.customers()), ["segment"], ["region", "is_weekend"])
+
+
+@query("large_local_amounts", """
+    select currency, line_total_usd > 0 as earned, count(*) as lines, cast(sum(line_total_usd) as decimal(18,2)) as usd,
+      count(*) filter (where line_total_local is null) as without_local
+    from (select currency, cast(cast(base as decimal(30,6)) * cast(0.000062 as decimal(7,6)) as decimal(14,2)) as line_total_usd,
+        try_cast(base as decimal(14,2)) as line_total_local
+      from (select currency, cast(quantity * 1000 * (unit_price * 10000) as decimal(26,2)) * (100 - discount_pct) * cast(0.01 as decimal(3,2)) as base
+        from items join shop_orders using (order_id) where currency <> 'USD'))
+    group by 1, 2""", "items shop_orders")
+def large_local_amounts(c: Commerce) -> DataFrame:
+    """Lines of billions in currencies of little worth: no USD amount is lost for what its local amount was."""
+    rates = c.orders().selectExpr("cast(order_date as date) as rate_date", "currency as quote_currency").distinct().withColumn(
+        "rate_to_usd", F.lit("0.000062").cast("decimal(12,6)"))
+    items = c.items().withColumns({"quantity": F.col("quantity") * 1000, "unit_price": (F.col("unit_price") * 10000).cast("decimal(12,2)")})
+    fact = star.fact_sales(c.orders(), items, rates).filter("currency <> 'USD'")
+    return fact.groupBy("currency", (F.col("line_total_usd") > 0).alias("earned")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("line_total_usd").cast("decimal(18,2)").alias("usd"), F.count_if(F.col("line_total_local").isNull()).alias("without_local"))
 
 
 # -------------------------------------------------------------------- measures
@@ -818,6 +830,14 @@ def slug_names(c: Commerce) -> DataFrame:
     return c.raw("part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"))
 
 
+@query("slug_accents", r"""
+    select doc_id, regexp_replace(lower(strip_accents(s)), '[^a-z0-9]', '', 'g') as slug
+    from (select doc_id, regexp_replace(text, '[^\x00-\x7F\x{C0}-\x{D6}\x{D8}-\x{DE}\x{E0}-\x{F6}\x{F8}-\x{FE}]', '', 'g') as s from documents)""")
+def slug_accents(c: Commerce) -> DataFrame:
+    """Whole texts in four languages as slugs: their letters are folded, not lost."""
+    return c.raw("documents").select("doc_id", text.slug(F.regexp_replace("text", "[^\\x00-\\x7F\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]", "")).alias("slug"))
+
+
 @query("date_keys", """
     select l_orderkey, l_linenumber, l_shipdate, cast(strftime(l_shipdate, '%Y%m%d') as int) as date_key, cast(year(l_shipdate) as int) as y,
       cast(month(l_shipdate) as int) as m from lineitem""")

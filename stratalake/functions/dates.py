@@ -12,11 +12,11 @@ def date_key(moment: Column) -> Column:
 
 
 def key_year(key: Column) -> Column:
-    return F.floor(key / 10000).cast("int")
+    return F.call_function("div", key, F.lit(10000)).cast("int")
 
 
 def key_month(key: Column) -> Column:
-    return F.floor((key % 10000) / 100).cast("int")
+    return F.call_function("div", key % 10000, F.lit(100)).cast("int")
 
 
 def iso_text(moment: Column) -> Column:

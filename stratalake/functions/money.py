@@ -1,7 +1,9 @@
 """Exact decimal money: one rounding, at the end.
 
-The operand precisions keep every product inside 38 digits, so nothing is rounded on the way.
-Narrowing uses ``try_cast``: an amount too large for its column becomes NULL.
+The operand precisions keep every product inside 38 digits, so nothing is rounded on the way: a local
+amount has 19 digits before the point, and at the smallest rate, 0.000001, such an amount
+is already too large for a money column. Narrowing uses ``try_cast``: an amount too large for its column
+becomes NULL, which ``operators.star.unfit_amounts`` counts and the daily chain refuses.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(14,2)"
 RATE = "decimal(12,6)"
+#: An unrounded amount that can still be multiplied by a rate without losing a digit.
+EXACT = "decimal(25,6)"
 WIDE_RATE = "decimal(18,10)"
 
 
@@ -24,10 +28,9 @@ def discount_or_zero(discount_pct: Column) -> Column:
 
 def line_amount(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """quantity x price less the discount per cent, unrounded."""
-    gross = (quantity.cast("decimal(10,0)") * unit_price.cast("decimal(12,2)")).try_cast("decimal(16,2)")
-    # The kept fraction stays within 18 digits, where Spark computes on longs.
+    gross = quantity.cast("decimal(10,0)") * unit_price.cast("decimal(12,2)")
     kept_pct = _decimal("100", "decimal(5,2)") - discount_or_zero(discount_pct)
-    return (gross * (kept_pct * _decimal("0.01", "decimal(3,2)"))).try_cast("decimal(18,6)")
+    return (gross * (kept_pct * _decimal("0.01", "decimal(3,2)"))).try_cast(EXACT)
 
 
 def line_cents(cents: Column, quantity: Column, discount_pct: Column) -> Column:
@@ -40,6 +43,15 @@ def to_money(amount: Column) -> Column:
     return amount.try_cast(MONEY)
 
 
+def converted(amount: Column, rate: Column) -> Column:
+    """An unrounded amount times a rate, rounded once to money.
+
+    Below 10**13 the product with a rate of up to 18 digits is exact. Above, a rate of more than 12 digits
+    leaves ten decimal places of the product before it is rounded.
+    """
+    return F.coalesce(to_money(amount.try_cast("decimal(19,6)") * rate), to_money(amount * rate))
+
+
 def rate_to_usd(units_per_usd: Column) -> Column:
     """USD per unit from a quote in units per USD; NULL for a zero or missing quote."""
     return F.try_divide(_decimal("1", "decimal(18,10)"), units_per_usd.cast("decimal(18,6)")).cast(WIDE_RATE)

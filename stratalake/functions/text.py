@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,8 +27,27 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+@lru_cache(maxsize=1)
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Letters beyond ASCII and what is left of them by Unicode's compatibility decomposition: those that become
+    one ASCII letter or digit (two strings side by side), and those that become several."""
+    one, several = {}, {}
+    for point in range(0x80, 0x20000):
+        char = chr(point)
+        left = re.sub("[^a-z0-9]", "", unicodedata.normalize("NFKD", char).lower()) if not 0xD800 <= point < 0xE000 else ""
+        if len(left) == 1:
+            one[char] = left
+        elif left:
+            several[char] = left
+    return "".join(one), "".join(one.values()), several
+
+
 def slug(value: Column) -> Column:
-    """Lower case, accents dropped, letters and digits only."""
-    accented = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-    plain = "aaaaaaceeeeiiiinooooouuuuyy"
-    return F.regexp_replace(F.translate(F.lower(value), accented, plain), "[^a-z0-9]", "")
+    """Lower case, accents folded, ASCII letters and digits only; letters that don't decompose are dropped."""
+    accented, plain, several = _folding()
+    folded = F.translate(F.lower(value), accented, plain)
+    # Ligatures and the like are rare: only values that hold one are taken apart.
+    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    apart = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    held = F.when(folded.rlike("[" + "".join(several) + "]"), apart).otherwise(folded)
+    return F.regexp_replace(held, "[^a-z0-9]", "")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.money import line_amount, to_money
-from stratalake.functions.text import normal_code, normal_email
+from stratalake.functions.text import normal_code
 from stratalake.operators.reconcile import orphans
 
 
@@ -21,7 +21,7 @@ def duplicate_excess(df: DataFrame, key: Column) -> DataFrame:
 def email_case_duplicates(customers: DataFrame) -> DataFrame:
     """Addresses used by several customers once case is ignored."""
     return (
-        customers.groupBy(normal_email(F.col("email")).alias("email"))
+        customers.groupBy(F.lower("email").alias("email"))
         .agg(F.count(F.lit(1)).alias("customers"))
         .filter("email is not null and customers > 1")
     )
@@ -36,8 +36,11 @@ def standard_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def standard_categories(products: DataFrame, canonical: DataFrame) -> DataFrame:
-    """Adds ``standard_category``: the listed spelling, or the given one if none matches."""
-    listed = canonical.select(F.lower("category").alias("_lower"), F.col("category").alias("_listed"))
+    """Adds ``standard_category``: the listed spelling, or the given one if none matches.
+
+    Of several listed spellings of one category the first in order counts, so a product stays one row.
+    """
+    listed = canonical.groupBy(F.lower("category").alias("_lower")).agg(F.min("category").alias("_listed"))
     return (
         products.join(listed, F.lower(products["category"]) == F.col("_lower"), "left")
         .withColumn("standard_category", F.coalesce("_listed", "category"))
@@ -135,9 +138,9 @@ def missing_rate_days(rates: DataFrame, start: str | None = None, end: str | Non
     per_currency = rates.groupBy("quote_currency").agg(
         F.min("rate_date").alias("first"), F.max("rate_date").alias("last"), F.collect_set("rate_date").alias("days")
     )
-    all_currencies = Window.partitionBy()
-    first = F.lit(start).cast("date") if start else F.min("first").over(all_currencies)
-    last = F.lit(end).cast("date") if end else F.max("last").over(all_currencies)
+    bounds = per_currency.agg(F.min("first").alias("lo"), F.max("last").alias("hi"))
+    first = F.lit(start).cast("date") if start else bounds.select("lo").scalar()
+    last = F.lit(end).cast("date") if end else bounds.select("hi").scalar()
     return per_currency.select("quote_currency", "days", first.alias("lo"), last.alias("hi")).select(
         "quote_currency",
         F.explode(F.array_except(F.sequence("lo", "hi", F.expr("interval 1 day")), "days")).alias("rate_date"),

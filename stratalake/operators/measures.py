@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.functions.dates import key_month, key_year
 from stratalake.functions.money import ratio_or_zero
 
 
@@ -50,7 +51,7 @@ def monthly_revenue(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Revenue per year and month: the small table the time measures work on."""
     key = F.col("order_date_key")
     return fact.groupBy(
-        *by, F.floor(key / 10000).cast("int").alias("year"), F.floor((key % 10000) / 100).cast("int").alias("month")
+        *by, key_year(key).alias("year"), key_month(key).alias("month")
     ).agg(F.sum("line_total_usd").cast("decimal(18,2)").alias("revenue_usd"))
 
 

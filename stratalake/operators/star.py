@@ -7,11 +7,13 @@ No join here carries a broadcast hint. For dimensions and rates, Spark broadcast
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.dates import date_key, key_month, key_year
-from stratalake.functions.money import MONEY, RATE, discount_or_zero, line_amount, to_money
+from stratalake.functions.money import RATE, converted, discount_or_zero, line_amount, to_money
 
 BASE_CURRENCY = "USD"
 
@@ -132,11 +134,42 @@ def fact_sales(
         discount_or_zero(F.col("discount_pct")).alias("discount_pct"),
         to_money(local).alias("line_total_local"),
         rate.cast(RATE).alias("exchange_rate_to_usd"),
-        to_money(local * rate).alias("line_total_usd"),
+        converted(local, rate).alias("line_total_usd"),
         (F.current_timestamp() if load_ts is None else load_ts).alias("updated_at"),
     )
 
 
+def unfit_amounts(fact: DataFrame) -> DataFrame:
+    """Lines whose amount is too large for its column, per currency; sums leave these out.
+
+    Quantity, price and, for the USD amount, the rate are known, yet there is no amount.
+    """
+    priced = F.col("quantity").isNotNull() & F.col("unit_price_local").isNotNull()
+    no_local = priced & F.col("line_total_local").isNull()
+    no_usd = priced & F.col("exchange_rate_to_usd").isNotNull() & F.col("line_total_usd").isNull()
+    return (
+        fact.groupBy("currency")
+        .agg(F.count_if(no_local).alias("local_amounts"), F.count_if(no_usd).alias("usd_amounts"))
+        .filter("local_amounts > 0 or usd_amounts > 0")
+    )
+
+
+def sales_by_customer_attributes(
+    fact: DataFrame, customer: DataFrame, attributes: Sequence[str], by: Sequence[str]
+) -> DataFrame:
+    """USD and lines by ``by`` and attributes of the customer.
+
+    Lines are summed per customer before they meet the dimension, so the second shuffle carries sums and a
+    customer with a third of all lines is one row per slice.
+    """
+    summed = fact.groupBy(*by, "customer_id").agg(F.sum("line_total_usd").alias("usd"), F.count(F.lit(1)).alias("lines"))
+    return (
+        summed.join(customer.select("customer_id", *attributes), "customer_id", "left")
+        .groupBy(*by, *attributes)
+        .agg(F.sum("usd").cast("decimal(18,2)").alias("usd"), F.sum("lines").alias("lines"))
+    )
+
+
 def lines_without_rate(orders: DataFrame, items: DataFrame, rates: DataFrame) -> DataFrame:
     """How many lines fall back to rate 1, per currency."""
     fact = fact_sales(orders, items, rates, missing_rate="null")
@@ -148,7 +181,10 @@ def lines_without_rate(orders: DataFrame, items: DataFrame, rates: DataFrame) ->
 
 
 def kpi_monthly_sales(fact: DataFrame, product: DataFrame | None = None, load_ts: Column | None = None) -> DataFrame:
-    """Orders, customers, items and revenue by year, month, country and category."""
+    """Orders, customers, items and revenue by year, month, country and category.
+
+    An order belongs to one customer, as in :func:`fact_sales`.
+    """
     sales = fact.withColumns(
         {"year": key_year(F.col("order_date_key")), "month": key_month(F.col("order_date_key"))}
     )
@@ -156,11 +192,18 @@ def kpi_monthly_sales(fact: DataFrame, product: DataFrame | None = None, load_ts
         sales = sales.withColumn("category", F.lit("unknown"))
     else:
         sales = sales.join(product.select("product_id", "category"), "product_id", "left")
-    kpi = sales.groupBy("year", "month", "shipping_country", "category").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").alias("total_items_sold"),
-        F.sum("line_total_usd").cast("decimal(16,2)").alias("total_revenue_usd"),
+    # Two distinct counts in one aggregation would send every line three times. Lines are summed per
+    # order first, orders are counted per customer, customers per key: each step is combined before its shuffle.
+    keys = ["year", "month", "shipping_country", "category"]
+    per_order = sales.groupBy(*keys, "customer_id", "order_id").agg(F.sum("quantity").alias("items"), F.sum("line_total_usd").alias("usd"))
+    per_pair = per_order.groupBy(*keys, "customer_id").agg(
+        F.count("order_id").alias("orders"), F.sum("items").alias("items"), F.sum("usd").alias("usd")
+    )
+    kpi = per_pair.groupBy(*keys).agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("customer_id").alias("unique_customers"),
+        F.sum("items").alias("total_items_sold"),
+        F.sum("usd").cast("decimal(16,2)").alias("total_revenue_usd"),
     )
     return kpi.withColumn("updated_at", F.current_timestamp() if load_ts is None else load_ts)
 
