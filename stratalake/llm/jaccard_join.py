@@ -14,9 +14,13 @@
   nothing more. Small regions are then compared pair by pair. Large ones take more pivots: each
   document goes to the Voronoi cell of its nearest pivot and, if its distance to another pivot exceeds
   that by at most twice the radius, into that pivot's cell too; cells join recursively, and within a
-  cell only documents whose distances to its pivot differ by at most the radius are compared. A
-  region that pivots don't divide loses its pivots and is tried with more of them, up to all pairs,
-  so nothing is left out.
+  cell only documents whose distances to its pivot differ by at most the radius are compared.
+* **What a pivot lacks.** Many near copies of one text, each with changes of its own, are about as far from
+  each other as from any of them, and cells don't divide them. Their pivot is what most of a few members have
+  in common (any set may be a pivot). Two documents that share nothing beyond this set p have no more in common
+  than either has with p. So documents whose overlap with p is too small for any partner without shared extras
+  leave the region, and all its documents meet anew in the regions of their shingles that p lacks. A region that all but a few members of one component are
+  left in is settled by comparing these few with all.
 
 Exact copies of a set are one point of the space. The order of shingles comes from a sketch of
 ``SKETCH`` counters summed over all documents: any order that is the same for all documents gives exact
@@ -45,7 +49,7 @@ from stratalake.llm import words as W
 from stratalake.llm.scratch import stored
 from stratalake.llm.textkeys import flagged, text_key
 
-SKETCH, BLOCK, SMALL, PIVOTS, MOST_PIVOTS = 1 << 18, 1024, 32, 16, 64
+SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS = 1 << 18, 1024, 32, 8, 64, 16
 #: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
 MEETINGS, LEAVING = 8, 3
 
@@ -162,6 +166,24 @@ def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return common.select("a", "b", (1 - F.col("i") / whole).alias("d"), (100 * F.col("i") >= percent * whole).alias("linked"))
 
 
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with their ``root``, of regions with several roots; ``c`` members, of which ``minor`` are outside
+    the root that most have (``minority``)."""
+    rooted = members.join(found.selectExpr("node as sid", "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    rooted = stored(rooted.select("region", "sid", "n", "near", "root"), "members")
+    by_root = rooted.groupBy("region", "root").agg(F.count("*").alias("k"))
+    mixed = by_root.groupBy("region").agg(
+        F.sum("k").alias("c"), F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("most")).where("roots > 1")
+    mixed = mixed.select("region", "c", (F.col("c") - F.col("most.k")).alias("minor"), F.col("most.root").alias("major"))
+    return stored(rooted.join(mixed, "region").select(*rooted.columns, "c", "minor", (F.col("root") != F.col("major")).alias("minority")), "mixed")
+
+
+def _first(live: DataFrame, few: int, seed: int) -> DataFrame:
+    """``few`` members of each region, by a hash; Spark keeps as many per partition before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid", F.lit(seed)), "sid"))
+    return live.withColumn("rank", rank).where(F.col("rank") <= few).drop("rank")
+
+
 def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the components that the links between members of common regions make."""
     spark, radius = members.sparkSession, 1 - percent / 100
@@ -169,41 +191,67 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     found = spark.createDataFrame([], "node bigint, root bigint")
     level = 0
     while True:
-        rooted = now.join(found.selectExpr("node as sid", "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        rooted = stored(rooted, "members")
-        mixed = rooted.groupBy("region").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("region", "c")
-        live = stored(rooted.join(mixed, "region"), "mixed")
+        live = _mixed(now, found)
         if live.isEmpty():
             return found
-        few = 1 if level == 0 else min(MOST_PIVOTS, PIVOTS << (2 * level - 2))
-        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid", F.lit(level)), "sid"))
-        most = max(few, SMALL)
-        chosen = live.withColumn("rank", rank).where(F.col("rank") <= most)
-        large = F.col("c") > SMALL
-        pivots = stored(chosen.where((F.col("rank") <= few) | (~large & F.lit(level > 0))).selectExpr("region", "sid as pivot", "n as pn", "root as proot", "near as pnear"), "pivots")
+        settled = (F.col("c") <= SMALL) | (F.col("minor") <= MINOR)
+        wide = live.where(~settled)
+        if level == 0:
+            chosen = _first(live, 1, level)
+        else:
+            chosen = live.where(settled & ((F.col("c") <= SMALL) | F.col("minority")))
+            chosen = chosen.unionByName(_first(wide, PIVOTS, level)) if level % 2 else chosen
+        pivots = stored(chosen.selectExpr("region", "sid as pivot", "n as pn", "root as proot", "near as pnear"), "pivots")
         met = live.join(pivots, "region").where("sid != pivot")
-        small_and_far = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("root") != F.col("proot"))
-        small_and_far &= F.coalesce(F.abs(F.col("near") - F.col("pnear")) <= radius + 1e-9, F.lit(True))
-        divided = large & F.lit(level > 0)
-        asked = met.where(divided | small_and_far).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
+        possible = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("root") != F.col("proot"))
+        possible &= F.coalesce(F.abs(F.col("near") - F.col("pnear")) <= radius + 1e-9, F.lit(True))
+        if level:
+            possible |= ~settled  # these are divided by their distances
+        asked = met.where(possible).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
         measured = stored(_distances(asked, sets, percent), "distances")
         edges = measured.where("linked").select("a", "b").unionAll(found.selectExpr("node as a", "root as b"))
         found = components.roots(edges)
-        rest = live.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti")
         if level == 0:
-            now = rest.select("region", "sid", "n", "near")
+            now = live.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti").select("region", "sid", "n", "near")
+        elif level % 2:
+            rest = wide.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti")
+            apart = rest.join(pivots, "region").select("region", "c", "sid", "n", "near", "pivot", F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"))
+            apart = stored(apart.join(measured.select("a", "b", "d"), ["a", "b"]).drop("a", "b"), "apart")
+            now = stored(_cells(rest, apart, radius), "next")
         else:
-            rest = rest.where(large)
-            apart = rest.join(pivots, "region").select("region", "c", "sid", "n", "pivot", "near", F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).join(measured.select("a", "b", "d"), ["a", "b"])
-            nearest = apart.groupBy("region", "sid").agg(F.min("d").alias("least"))
-            cells = stored(apart.join(nearest, ["region", "sid"]).where(F.col("d") - F.col("least") <= 2 * radius + 1e-9), "cells")
-            helped = cells.groupBy("region").agg(F.count("*").alias("rows"), F.first("c").alias("c")).where("2 * rows <= 3 * c").select("region")
-            now = stored(
-                cells.join(helped, "region", "left_semi").select(F.xxhash64("region", "pivot").alias("region"), "sid", "n", F.col("d").alias("near"))
-                .unionAll(rest.join(helped, "region", "left_anti").select("region", "sid", "n", "near")), "next")
+            now = stored(_residues(wide, sets, percent, level), "next")
         level += 1
 
 
+def _cells(rest: DataFrame, apart: DataFrame, radius: float) -> DataFrame:
+    """Members of the pivots' Voronoi cells, or of the region itself where cells don't help."""
+    nearest = apart.groupBy("region", "sid").agg(F.min("d").alias("least"))
+    cells = apart.join(nearest, ["region", "sid"]).where(F.col("d") - F.col("least") <= 2 * radius + 1e-9)
+    helped = stored(cells.groupBy("region").agg(F.count("*").alias("rows"), F.first("c").alias("c")).where("2 * rows <= 3 * c").select("region"), "helped")
+    divided = cells.join(helped, "region", "left_semi").select(F.xxhash64("region", "pivot").alias("region"), "sid", "n", F.col("d").alias("near"))
+    return divided.unionAll(rest.join(helped, "region", "left_anti").select("region", "sid", "n", "near"))
+
+
+def _residues(wide: DataFrame, sets: DataFrame, percent: int, level: int) -> DataFrame:
+    """Members that may have partners without shared extras, in their region; and all members in the regions of
+    the shingles that their pivot, the majority of VOTERS members, lacks. Regions with equal pivots share them."""
+    votes = _first(wide.select("region", "sid"), VOTERS, level).join(sets, "sid").select("region", F.explode("set").alias("shingle"))
+    agreed = votes.groupBy("region", "shingle").agg(F.count("*").alias("k")).where(2 * F.col("k") > VOTERS)
+    bases = agreed.groupBy("region").agg(F.array_sort(F.collect_list("shingle")).alias("base")).withColumn("pivot", F.xxhash64("base"))
+    bases = stored(bases, "bases")
+    placed = wide.select("region", "sid", "n", "near").join(bases.select("region", "pivot"), "region", "left").withColumn("pivot", F.coalesce("pivot", F.lit(0)))
+    pairs = stored(placed.select("pivot", "sid", "n").distinct(), "pairs")
+    both = pairs.join(sets.selectExpr("sid", "set"), "sid").join(bases.select("pivot", "base").dropDuplicates(["pivot"]), "pivot", "left")
+    base = F.coalesce("base", F.array().cast("array<bigint>"))
+    both = stored(both.select("pivot", "sid", "n", F.array_except("set", base).alias("extras")), "extras")
+    least = wide.groupBy("region").agg(F.min("n").alias("fewest"))
+    known = both.select("pivot", "sid", (F.col("n") - F.size("extras")).alias("common"))
+    bound = placed.join(known, ["pivot", "sid"]).join(least, "region")
+    staying = bound.where(100 * F.col("common") >= percent * (F.col("n") + F.greatest("fewest", "common") - F.col("common"))).select("region", "sid", "n", "near")
+    apart = both.select("pivot", "sid", "n", F.explode("extras").alias("shingle")).select(F.xxhash64("pivot", "shingle").alias("region"), "sid", "n")
+    return staying.unionAll(_different(stored(apart, "apart")).select("region", "sid", "n", F.lit(None).cast("double").alias("near")))
+
+
 def components_of(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id") -> DataFrame:
     """Per document: id, text_key, n (distinct shingles), root (names its component; null without words) and
     component (the smallest id reachable by links)."""

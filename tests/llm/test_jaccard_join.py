@@ -62,6 +62,7 @@ def corpus(seed, families=6, singles=20):
 def test_components_like_brute_force(table, spark, monkeypatch, seed, small, size, percent):
     monkeypatch.setattr(jaccard_join, "SMALL", small)
     monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard_join, "MINOR", small)
     docs = corpus(seed)
     got = jaccard_join.components_of(table(docs), size, percent)
     assert sorted(((r.id, r.n, r.component) for r in got.collect()), key=repr) == brute(docs, size, percent)
@@ -91,6 +92,17 @@ def test_a_group_with_a_third_of_all_rows(table, spark):
     assert {got[k] for k in range(300)} == {0} and all(got[k] == k for k in got if k >= 1000)
 
 
+def test_a_dense_group_of_copies_that_mostly_do_not_link(table, spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "MINOR", 4)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(150)]
+    docs = [(k, " ".join(near(rng, base, rng.choice([0, 1, 2, 3, 4, 5, 6])))) for k in range(150)]
+    docs += [(200 + k, t.replace("w77", "x")) for k, (_, t) in enumerate(docs[:40])]
+    got = jaccard_join.components_of(table(docs), 4, 85)
+    assert sorted(((r.id, r.n, r.component) for r in got.collect()), key=repr) == brute(docs, 4, 85)
+
+
 def test_roots_of_paths_and_stars(spark):
     rng = random.Random(7)
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
