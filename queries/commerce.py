@@ -97,11 +97,12 @@ class Commerce:
         )
 
     def rates(self) -> DataFrame:
-        """A rate per nation and working day of 1995 to 2001; none on Saturdays and Sundays.
+        """A rate per nation and working day from the first to the last order; none on Saturdays and Sundays.
 
         Its size is nations x calendar days whatever the size of the other tables.
         """
-        days = F.expr("sequence(date'1995-01-01', date'2001-12-31', interval 1 day)")
+        bounds = self.raw("orders").selectExpr("cast(o_orderdate as date) as day").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+        days = F.sequence(bounds.select("lo").scalar(), bounds.select("hi").scalar(), F.expr("interval 1 day"))
         return (
             self.raw("nation")
             .select("n_nationkey", "n_name", F.explode(days).alias("rate_date"))
@@ -233,7 +234,7 @@ VIEWS = {
     "rates": """select cast(d as date) as rate_date,
         case when n_nationkey = 0 then 'USD' else n_name end as quote_currency,
         cast(cast(40 + 3 * n_nationkey + day(d) as decimal(12,6)) * cast(0.01 as decimal(3,2)) as decimal(12,6)) as rate_to_usd
-        from nation, generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day) g(d)
+        from nation, (select unnest(generate_series(cast(min(o_orderdate) as date), cast(max(o_orderdate) as date), interval 1 day)) as d from orders)
         where dayofweek(d) not in (0, 6)""",
     "quotes": """select cast(l_shipdate as date) as rate_date,
         case when n_nationkey = 0 then 'USD' else n_name end as quote_currency,

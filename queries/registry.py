@@ -517,6 +517,38 @@ def invalid_envelopes(c: Commerce) -> DataFrame:
     return judged.groupBy("event_type", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("pages_extra_fields", """
+    select cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as updated_at, event_type,
+      case when event_id % 3 = 0 then props end as extra from events""")
+def pages_extra_fields(c: Commerce) -> DataFrame:
+    """Rows keep every field that any row has, also those that only some have."""
+    row = F.struct(F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("updated_at"), "event_type",
+                   F.expr("case when event_id % 3 = 0 then props end").alias("extra"))
+    bodies = c.raw("events").groupBy(F.expr("event_id div 500").alias("page")).agg(F.collect_list(row).alias("data")).select(
+        F.to_json(F.struct("data")).alias("body"))
+    return pages.explode_pages(bodies, "updated_at")[0]
+
+
+@query("pages_incomplete", """
+    select kind, case kind when 'gap' then 'Pages are not 1 to ' || n || ' once each' when 'more' then 'The last page says that there are more'
+        when 'total' then 'Pages hold ' || r || ' rows of a total of ' || (r + 1) end as reason
+    from (select count(distinct event_id // 500) as n, count(*) as r from events), (values ('whole'), ('gap'), ('more'), ('total')) k(kind)""")
+def pages_incomplete(c: Commerce) -> DataFrame:
+    """Events in pages, whole, without the second page, with more behind the last, and with one row too few."""
+    row = F.struct(F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+    paged = c.raw("events").groupBy(F.expr("event_id div 500 + 1").alias("page")).agg(F.collect_list(row).alias("data"))
+    known = paged.agg(F.max("page").alias("last"), F.sum(F.size("data")).alias("rows")).first()
+
+    def verdict(kind: str) -> DataFrame:
+        kept = paged.filter("page <> 2") if kind == "gap" else paged
+        total = F.lit(known["rows"] + (kind == "total"))
+        body = F.to_json(F.struct("data", "page", total.alias("total"), ((F.col("page") < known["last"]) | F.lit(kind == "more")).alias("has_more")))
+        judged = pages.judge_pages(kept.select(body.alias("body")), "updated_at")
+        return pages.incomplete_pages(judged).select(F.lit(kind).alias("kind"), "reason")
+
+    return reduce(DataFrame.unionByName, [verdict(k) for k in ("whole", "gap", "more", "total")])
+
+
 @query("lossless_text", """
     select event_id, case when microsecond(ts) % 1000000 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') else strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end || '+00:00' as ts,
       cast(cast(value as decimal(12,2)) as varchar) as value, strftime(ts, '%Y-%m-%d') as day, props from events""")

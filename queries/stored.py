@@ -1,12 +1,13 @@
 """Queries that go through files, tables on disk and streams, over the whole given tables.
 
-Each run works in a folder of its own under ``spark.checkpoint.dir`` (shared on a cluster); only
-where the session names none is a temporary one used.
+Each run works in a folder of its own under ``spark.checkpoint.dir`` (shared on a cluster), or, where the
+session names none, under its warehouse. Results are read from there lazily, so who runs a query
+removes the folders.
 """
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
 from datetime import datetime, timezone
 
@@ -15,18 +16,18 @@ from pyspark.sql import functions as F
 
 from queries.commerce import Commerce
 from queries.registry import query
-from stratalake.plans import bronze, gold, ingest, silver
+from stratalake.plans import bronze, daily, gold, ingest, silver
 from stratalake.plans.state import State
-from stratalake.session import checkpoint_dir
-from stratalake.sources import files, landing
+from stratalake.session import scratch_dir
+from stratalake.sources import files, fs, landing
+from stratalake.sources import lake as tables
 from stratalake.sources.lake import Lake
-from stratalake.sources.specs import DatasetSpec, TypedSpec
+from stratalake.sources.specs import TYPED_SPECS, DatasetSpec, TypedSpec
 from stratalake.streaming import microbatch
 
 
 def _scratch(c: Commerce) -> str:
-    base = checkpoint_dir(c.spark, tempfile.gettempdir())
-    return f"{base.rstrip('/')}/stratalake-{uuid.uuid4().hex}"
+    return f"{scratch_dir(c.spark).rstrip('/')}/stratalake-{uuid.uuid4().hex}"
 
 
 def _spec(dataset: str, kind: str = "jsonl", source: str = "postgres", **more) -> DatasetSpec:
@@ -85,11 +86,16 @@ def full_medallion_kpi(c: Commerce) -> DataFrame:
 _EVENT_ROWS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def _land_events(c: Commerce, lake: Lake, dataset: str = "events", limit_rows: int = 1_000) -> DatasetSpec:
-    """Events as five landed batches, one per type."""
+def _kinds(c: Commerce) -> list[str]:
+    """The event types there are; rows without one are of type ``none``."""
+    return [r.kind for r in c.raw("events").select(F.coalesce("event_type", F.lit("none")).alias("kind")).distinct().orderBy("kind").collect()]
+
+
+def _land_events(c: Commerce, lake: Lake, dataset: str = "events", limit_rows: int = 100_000) -> DatasetSpec:
+    """Events as landed batches, one per type."""
     spec = _spec(dataset)
-    for kind in ("click", "error", "purchase", "signup", "view"):
-        rows = c.raw("events").filter(F.col("event_type") == kind).select(*_EVENT_ROWS)
+    for kind in _kinds(c):
+        rows = c.raw("events").filter(F.coalesce("event_type", F.lit("none")) == kind).select(*_EVENT_ROWS)
         landing.land_rows(rows, lake.landing, spec, f"b-{kind}", limit_rows, _extra())
     return spec
 
@@ -97,19 +103,20 @@ def _land_events(c: Commerce, lake: Lake, dataset: str = "events", limit_rows: i
 @query("checksum_verify", """
     select 'b-' || event_type as batch_id, count(*) as record_count, true as files_ok, true as rotated from events group by 1""")
 def checksum_verify(c: Commerce) -> DataFrame:
-    """Landed batches against their manifests; parts hold at most 100 rows."""
+    """Landed batches against their manifests; parts hold at most 10,000 rows."""
     lake = Lake(_scratch(c))
-    spec = _land_events(c, lake, limit_rows=100)
+    spec = _land_events(c, lake, limit_rows=10_000)
     manifests = landing.landed_batches(c.spark, lake.landing, spec)
-    folders = [landing.batch_path(lake.landing, spec, f"b-{k}") for k in ("click", "error", "purchase", "signup", "view")]
+    folders = [landing.batch_path(lake.landing, spec, f"b-{k}") for k in _kinds(c)]
     verdicts = landing.checksum_report(c.spark, folders).groupBy("batch_id").agg(
         F.bool_and(F.col("verdict") == "ok").alias("files_ok"))
-    rotated = landing.listed_files(c.spark, folders).groupBy("batch_id").agg((F.max("rows") <= 100).alias("rotated"))
+    rotated = landing.listed_files(c.spark, folders).groupBy("batch_id").agg((F.max("rows") <= 10_000).alias("rotated"))
     return manifests.select("batch_id", "record_count").join(rotated, "batch_id").join(verdicts, "batch_id")
 
 
 @query("bronze_rows", """
-    select cast(event_id as varchar) as event_id, event_type, props, cast(user_id as varchar) as user_id, 'postgres' as source_system,
+    select cast(event_id as varchar) as event_id, event_type, props, cast(user_id as varchar) as user_id, cast(value as varchar) as value,
+      case when microsecond(ts) % 1000000 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') else strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') end as ts, 'postgres' as source_system,
       'b-' || event_type as batch_id, timestamp '2024-02-01' as ingestion_timestamp, cast(null as varchar) as file_name, 'load' as run_id
     from events""")
 def bronze_rows(c: Commerce) -> DataFrame:
@@ -118,7 +125,7 @@ def bronze_rows(c: Commerce) -> DataFrame:
     spec = _land_events(c, lake)
     bronze.load_bronze(c.spark, lake, spec)
     bronze.load_bronze(c.spark, lake, spec)
-    return bronze.bronze_table(c.spark, lake, spec.dataset).drop("ts", "value")
+    return bronze.bronze_table(c.spark, lake, spec.dataset)
 
 
 @query("bronze_checks", """
@@ -140,15 +147,17 @@ def bronze_checks(c: Commerce) -> DataFrame:
         ('lineage_columns_populated', 'nulls: ingestion_timestamp ' || nulls || ', source_system 0, batch_id 0')) v(c, d)""")
 def bronze_checks_after_loss(c: Commerce) -> DataFrame:
     """A table without one batch, with rows lost from another and lineage blanked in it."""
-    lake = Lake(_scratch(c))
+    root = _scratch(c)
+    lake = Lake(f"{root}/lake")
     spec = _land_events(c, lake)
-    manifests = landing.landed_batches(c.spark, lake.landing, spec)
-    kept = c.raw("events").filter("event_type <> 'view' and not (event_type = 'click' and value < 20)").selectExpr(
-        "concat('b-', event_type) as batch_id", "'postgres' as source_system",
-        "case when event_type <> 'click' then ts end as ingestion_timestamp")
-    exists = c.spark.range(1).selectExpr("'events' as dataset", "'table_exists' as check", "true as passed", "cast(null as string) as detail")
-    return exists.unionByName(bronze.manifest_checks(kept, manifests, "events")).unionByName(
-        bronze.lineage_checks(kept, "events", "postgres", False))
+    bronze.load_bronze(c.spark, lake, spec)
+    path = lake.table_path("bronze", spec.dataset)
+    fs.delete(c.spark, f"{path}/batch_id=b-view")
+    clicks = bronze.bronze_table(c.spark, lake, spec.dataset).filter("batch_id = 'b-click' and cast(value as double) >= 20")
+    clicks.withColumn("ingestion_timestamp", F.lit(None).cast("timestamp")).write.parquet(f"{root}/damaged")
+    tables.write_batches(c.spark.read.parquet(f"{root}/damaged"), path)
+    where = F.when(F.col("check") != "table_exists", F.col("detail"))
+    return bronze.bronze_checks(c.spark, lake, spec).withColumn("detail", where)
 
 
 @query("csv_files_to_bronze", """
@@ -159,7 +168,7 @@ def csv_files_to_bronze(c: Commerce) -> DataFrame:
     root = _scratch(c)
     lake = Lake(f"{root}/lake")
     labels = c.raw("part").selectExpr("p_partkey", "concat(p_name, ', \"', p_brand, '\"') as label")
-    labels.repartition(4, "p_partkey").write.options(header=True, escape='"').csv(f"{root}/raw/parts")
+    labels.write.options(header=True, escape='"').csv(f"{root}/raw/parts")
     spec = _spec("parts", "csv", "files", directory="parts", pattern="*.csv", required_columns=("p_partkey", "label"))
     state = State(c.spark, lake)
     ingest.ingest_files(c.spark, lake, state, spec, f"{root}/raw")
@@ -184,13 +193,85 @@ def json_files_to_bronze(c: Commerce) -> DataFrame:
     return bronze.bronze_table(c.spark, lake, "props").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("csv_verdicts", """
+    select kind, case kind when 'good' then n end as record_count, case kind when 'short row' then '1 row(s) with a field count other than 2'
+        when 'no column' then 'missing required columns: [''label'']' when 'empty' then 'file is empty or has no header' end as reason
+    from (select count(*) as n from part), (values ('good'), ('short row'), ('no column'), ('empty'), ('broken header')) k(kind)
+    where kind <> 'broken header' union all select 'broken header', count(*), null from part""")
+def csv_verdicts(c: Commerce) -> DataFrame:
+    """Parts as one CSV text per way to be right or wrong; a line break inside a quoted header is right."""
+    root = _scratch(c)
+    body = c.raw("part").orderBy("p_partkey").agg(F.array_join(F.collect_list(F.concat(F.col("p_partkey"), F.lit(',"'), "p_name", F.lit('"'))), "\n").alias("rows"))
+    texts = {"good": "concat('p_partkey,label\n', rows)", "short row": "concat('p_partkey,label\n', rows, '\n7')", "no column": "concat('p_partkey,name\n', rows)",
+             "empty": "''", "broken header": "concat('p_partkey,label,\"no\nte\"\n', replace(rows, '\n', ',\n'), ',')"}
+    for kind, text in texts.items():
+        body.selectExpr(f"{text} as value").coalesce(1).write.option("lineSep", "\n").text(f"{root}/{kind}")
+    found = [
+        files.file_verdicts(files.inspect_files(c.spark, f"{root}/{k}", "*.txt"), "csv", ("p_partkey", "label")).select(F.lit(k).alias("kind"), "record_count", "reason")
+        for k in texts]
+    return tables.union_all(found)
+
+
+@query("json_verdicts", """
+    select kind, case kind when 'good' then n end as record_count, case kind when 'two arrays' then 'malformed JSON' when 'object' then 'top level must be a JSON array of records'
+        when 'cut' then 'malformed JSON' when 'numbers' then 'malformed JSON or an element that is not an object' when 'empty' then 'malformed JSON' end as reason
+    from (select count(*) as n from region), (values ('good'), ('two arrays'), ('object'), ('cut'), ('numbers'), ('empty')) k(kind)""")
+def json_verdicts(c: Commerce) -> DataFrame:
+    """Regions as one JSON text per way to be right or wrong."""
+    root = _scratch(c)
+    body = c.raw("region").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("r_regionkey", "r_name"))), ","), F.lit("]")).alias("rows"))
+    texts = {"good": "rows", "two arrays": "concat(rows, rows)", "object": "concat('{\"a\":', rows, '}')", "cut": "substr(rows, 1, length(rows) - 3)",
+             "numbers": "concat(substr(rows, 1, length(rows) - 1), ',1]')", "empty": "''"}
+    for kind, text in texts.items():
+        body.selectExpr(f"{text} as value").coalesce(1).write.text(f"{root}/{kind}")
+    found = [files.file_verdicts(files.inspect_files(c.spark, f"{root}/{k}", "*.txt"), "json").select(F.lit(k).alias("kind"), "record_count", "reason") for k in texts]
+    return tables.union_all(found)
+
+
+_CHAIN = ("customers", "products", "orders", "order_items", "payments", "exchange_rates", "countries", "reviews")
+
+
+@query("daily_chain", """
+    select pipeline_name, dataset, 'success' as status, n as records_extracted from (select 'customers' as dataset, count(*) as n from customers union all select 'products', count(*) from products
+      union all select 'orders', count(*) from shop_orders union all select 'order_items', count(*) from items
+      union all select 'payments', count(*) from payments union all select 'exchange_rates', count(*) from rates
+      union all select 'countries', count(*) from countries union all select 'reviews', count(*) from reviews),
+      (values ('ingestion'), ('bronze_load'), ('silver_load')) p(pipeline_name)""", "customers products shop_orders items payments rates countries reviews")
+def daily_chain(c: Commerce) -> DataFrame:
+    """All eight datasets from tables, pages and files through every layer, with checks, quality and audit: the runs."""
+    root = _scratch(c)
+    lake = Lake(f"{root}/lake", buckets=8)
+    state = State(c.spark, lake)
+    stamped = {
+        "customers": c.customers().withColumn("updated_at", F.col("created_at")),
+        "products": c.products().withColumn("updated_at", F.lit("2024-01-01").cast("timestamp")),
+        "orders": c.orders().withColumn("updated_at", F.col("order_date")),
+        "order_items": _items(c), "payments": c.payments().withColumn("updated_at", F.col("created_at")),
+    }
+    specs = {n: _spec(n, watermark_col="updated_at", primary_key=TYPED_SPECS[n].primary_key) for n in stamped}
+    specs["exchange_rates"] = _spec("exchange_rates", source="rest_api", watermark_col="updated_at", primary_key=("rate_date", "quote_currency"))
+    specs["countries"] = _spec("countries", "csv", "files", directory="countries", pattern="*.csv", required_columns=("country_code",))
+    specs["reviews"] = _spec("reviews", "json", "files", directory="reviews", pattern="*.txt")
+    rate = F.struct("rate_date", "quote_currency", "rate_to_usd", F.date_format("rate_date", "yyyy-MM-dd'T'00:00:00'Z'").alias("updated_at"))
+    bodies = c.rates().groupBy("quote_currency").agg(F.collect_list(rate).alias("data")).select(F.to_json(F.struct("data")).alias("body"))
+    c.countries().drop("n_nationkey").write.option("header", True).csv(f"{root}/raw/countries")
+    review = F.to_json(F.struct(F.concat("review_id", F.lit("-"), "event_id").alias("review_id"), "product_id", "customer_id", "rating", "comment", "review_date"))
+    arrays = c.reviews().groupBy(F.expr("event_id div 100000").alias("page")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(review), ","), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/raw/reviews")
+    ingests = {n: lambda n=n: ingest.ingest_table(c.spark, lake, state, specs[n], stamped[n]) for n in stamped}
+    ingests["exchange_rates"] = lambda: ingest.ingest_pages(c.spark, lake, state, specs["exchange_rates"], bodies)
+    ingests |= {n: lambda n=n: ingest.ingest_files(c.spark, lake, state, specs[n], f"{root}/raw") for n in ("countries", "reviews")}
+    daily.run_daily(c.spark, lake, state, [specs[n] for n in _CHAIN], ingests)
+    return state.runs().select("pipeline_name", "dataset", "status", "records_extracted")
+
+
 @query("file_ledger", """
     select cast(count(*) as bigint) as record_count, true as all_known from part""")
 def file_ledger(c: Commerce) -> DataFrame:
     """Files recorded as processed, and whether a second look finds any of them new."""
     root = _scratch(c)
     lake = Lake(f"{root}/lake")
-    c.raw("part").select("p_partkey", "p_name").repartition(4, "p_partkey").write.option("header", True).csv(f"{root}/raw/parts")
+    c.raw("part").select("p_partkey", "p_name").write.option("header", True).csv(f"{root}/raw/parts")
     spec = _spec("parts", "csv", "files", directory="parts", pattern="*.csv", required_columns=("p_partkey",))
     state = State(c.spark, lake)
     ingest.ingest_files(c.spark, lake, state, spec, f"{root}/raw")
@@ -232,6 +313,57 @@ def silver_quarantine(c: Commerce) -> DataFrame:
     return silver.quarantine_table(c.spark, _load_payments(c), "payments").select("payment_id", "quarantine_reason", "batch_id")
 
 
+@query("stream_silver_payments", f"select payment_id, order_id, payment_status, amount from {_SILVER_PAYMENTS} where reason = ''", "payments")
+def stream_silver_payments(c: Commerce) -> DataFrame:
+    """Landed payments through a bronze and a silver stream: typed, judged, upserted; a second run changes nothing."""
+    root = _scratch(c)
+    lake, spec = Lake(f"{root}/lake", buckets=8), _spec("payments")
+    landing.land_rows(c.payments().withColumn("updated_at", F.col("created_at")), lake.landing, spec, "b1", 100_000, _extra())
+    for _ in range(2):
+        microbatch.bronze_stream(c.spark, lake, spec, f"{root}/bronze").awaitTermination()
+        microbatch.silver_stream(c.spark, lake, "payments", f"{root}/silver", with_source_rules=True).awaitTermination()
+    table = silver.silver_table(c.spark, lake, "payments")
+    return table.select("payment_id", "order_id", "payment_status", "amount")
+
+
+_REGIONS = "(select count(*) from region)"
+
+
+@query("bronze_refusals", f"""
+    select kind, batch, status, fault from (values
+      ('count', 'b-1', 'success', null), ('count', 'b-2', 'failed', '[b-2] read ' || {_REGIONS} || ' rows but the manifest says ' || ({_REGIONS} + 1)),
+      ('lineage', 'b-1', 'success', null), ('lineage', 'b-2', 'failed', '[b-2] source columns collide with lineage columns: [''run_id'']'),
+      ('tampered', 'b-1', 'success', null), ('tampered', 'b-2', 'failed', 'checksum mismatch'),
+      ('missing', 'b-1', 'success', null), ('missing', 'b-2', 'failed', 'landed file missing')) v(kind, batch, status, fault)""")
+def bronze_refusals(c: Commerce) -> DataFrame:
+    """Regions landed three times: loading stops at the second batch, and the third waits."""
+    out = []
+    for kind in ("count", "lineage", "tampered", "missing"):
+        lake = Lake(_scratch(c))
+        state, spec = State(c.spark, lake), _spec("regions")
+        rows = c.raw("region")
+        for batch in ("b-1", "b-2", "b-3"):
+            clash = kind == "lineage" and batch == "b-2"
+            landing.land_rows(rows.withColumn("run_id", F.lit("own")) if clash else rows, lake.landing, spec, batch, 100_000, _extra())
+        folder = landing.batch_path(lake.landing, spec, "b-2")
+        part = next(p for p, name, size in fs.glob(c.spark, f"{folder}/files/part-*") if size)
+        if kind == "count":
+            text = c.spark.read.text(f"{folder}/manifest.json", wholetext=True).first().value
+            fs.write_text(c.spark, f"{folder}/manifest.json", json.dumps({**json.loads(text), "record_count": rows.count() + 1}))
+        elif kind == "tampered":
+            fs.write_text(c.spark, part, "{}")
+        elif kind == "missing":
+            fs.delete(c.spark, part)
+        try:
+            bronze.load_bronze(c.spark, lake, spec, state)
+        except bronze.BronzeLoadError:
+            pass
+        fault = F.when(F.col("error_message").contains("checksum mismatch"), "checksum mismatch").when(
+            F.col("error_message").contains("landed file missing"), "landed file missing").otherwise(F.col("error_message"))
+        out.append(state.runs().select(F.lit(kind).alias("kind"), F.col("batch_id").alias("batch"), "status", fault.alias("fault")))
+    return tables.union_all(out)
+
+
 @query("reviews_by_month", """
     select strftime(review_date, '%Y-%m') as month, count(*) as n, count(distinct review_id) as ids from reviews group by 1""", "reviews")
 def reviews_by_month(c: Commerce) -> DataFrame:
@@ -278,7 +410,7 @@ def stream_bronze(c: Commerce) -> DataFrame:
 def stream_silver_upsert(c: Commerce) -> DataFrame:
     """Newest event per user, kept by micro-batches over files."""
     root = _scratch(c)
-    c.raw("events").repartition(3, "event_type").write.parquet(f"{root}/arrivals")
+    c.raw("events").write.option("maxRecordsPerFile", 1_000_000).parquet(f"{root}/arrivals")
     stream = c.spark.readStream.schema(c.raw("events").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrivals")
     lake, spec = Lake(f"{root}/lake", buckets=8), TypedSpec("newest_events", ("user_id",), "ts", "user_id bigint")
     microbatch.upsert_stream(c.spark, lake, stream, spec, f"{root}/checkpoint", ("event_id",)).awaitTermination()

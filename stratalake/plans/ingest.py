@@ -90,15 +90,18 @@ def ingest_table(
 
 
 def ingest_pages(
-    spark: SparkSession, lake: Lake, state: State, spec: DatasetSpec, envelopes: DataFrame, fields: list[str],
+    spark: SparkSession, lake: Lake, state: State, spec: DatasetSpec, envelopes: DataFrame, fields: list[str] | None = None,
     body: str = "body", full_refresh: bool = False, max_rows_per_file: int = 100_000,
 ) -> IngestResult:
-    """Rows of response bodies updated at or after the watermark; it moves to the newest seen."""
+    """Whole rows of response bodies updated at or after the watermark; it moves to the newest seen.
+
+    Bodies that break the contract, or that are not all pages of the set, fail the run.
+    """
 
     def extract(batch_id: str, since: str | None, extra: dict[str, Any]):
         rows, refused = pages.explode_pages(envelopes, spec.watermark_col, fields, body)
-        bad = refused.select("reason").first()
-        if bad:
+        bad = refused.select("reason").first() or pages.incomplete_pages(pages.judge_pages(envelopes, spec.watermark_col, body)).first()
+        if bad.reason is not None:
             raise InvalidResponse(bad.reason)
         stamp = F.col(spec.watermark_col).try_cast("timestamp")
         stamped = rows.withColumn("_stamp", stamp)

@@ -30,6 +30,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``, or ``fallback`` (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or fallback
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder that all executors share: ``spark.checkpoint.dir``, or else the session's warehouse.
+
+    Never a temporary folder, which every machine has of its own.
+    """
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +17,34 @@ EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855
 BOM = "\ufeff"
 
 
+#: The first record of a CSV text: up to a line break outside quotes. A header is at most so long.
+FIRST_RECORD = '^(?:[^"\\n]++|"(?:[^"]++|"")*+"?)*+'
+HEADER_LIMIT = 1 << 20
+
+
 def _without_bom(content: Column) -> Column:
     return F.ltrim(content.cast("string"), F.lit(BOM))
 
 
+def header_record(text: Column) -> Column:
+    """The header of a CSV text as it is written, line breaks in quotes included."""
+    return F.rtrim(F.regexp_extract(F.left(text, F.lit(HEADER_LIMIT)), FIRST_RECORD, 0), F.lit("\r"))
+
+
+def is_one_json_value(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else.
+
+    Spark's parsers stop behind the first value. Inside an array and inside an object, what follows the
+    value must be the closing mark, and no text can close both.
+    """
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    in_object = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1
+    return F.coalesce(in_array & in_object, F.lit(False))
+
+
 def inspect_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """One row per matching file: path, file_name, size_bytes, sha256, is_utf8, first_line and the
-    first and last visible characters. Executors read the bytes; the driver only lists names.
+    """One row per matching file: path, file_name, size_bytes, sha256, is_utf8, header (of a CSV), one_json
+    and the first and last visible characters. Executors read the bytes; the driver only lists names.
 
     Spark leaves empty files out of its reads, so the listing is joined back in.
     """
@@ -37,17 +59,18 @@ def inspect_files(spark: SparkSession, directory: str, pattern: str) -> DataFram
             base_name(F.col("path")).alias("file_name"),
             F.sha2("content", 256).alias("sha256"),
             F.is_valid_utf8(F.col("content").cast("string")).alias("is_utf8"),
-            F.rtrim(F.substring_index(text, "\n", 1), F.lit("\r")).alias("first_line"),
+            header_record(text).alias("header"),
+            is_one_json_value(text).alias("one_json"),
             F.left(F.ltrim(text, blank), F.lit(1)).alias("opens"),
             F.right(F.rtrim(text, blank), F.lit(1)).alias("closes"),
         )
         if listed
         else spark.createDataFrame(
-            [], "file_name string, sha256 string, is_utf8 boolean, first_line string, opens string, closes string"
+            [], "file_name string, sha256 string, is_utf8 boolean, header string, one_json boolean, opens string, closes string"
         )
     )
     return names.join(read, "file_name", "left").fillna(
-        {"sha256": EMPTY_SHA256, "is_utf8": True, "first_line": "", "opens": "", "closes": ""}
+        {"sha256": EMPTY_SHA256, "is_utf8": True, "header": "", "one_json": False, "opens": "", "closes": ""}
     )
 
 
@@ -65,14 +88,15 @@ def _corrupt_rows(other: str) -> Column:
 
 def _csv_verdicts(files: DataFrame, required: Sequence[str]) -> DataFrame:
     spark = files.sparkSession
-    headers = [r.first_line for r in files.select("first_line").distinct().collect()]
+    # Distinct headers of at most HEADER_LIMIT characters; longer ones are refused, not collected.
+    fits = F.length("header") < HEADER_LIMIT
     facts = []
-    for line in headers:
-        fields = next(csv.reader([line]), [])
+    for row in files.filter(fits).select("header").distinct().collect():
+        fields = next(csv.reader(io.StringIO(row.header, newline="")), [])
         absent = [c for c in required if c not in fields]
-        facts.append((line, len(fields), f"missing required columns: {absent}" if fields and absent else None))
-    shape = spark.createDataFrame(facts, "first_line string, width int, absent string")
-    shaped = files.join(shape, "first_line")
+        facts.append((row.header, len(fields), f"missing required columns: {absent}" if fields and absent else None))
+    shape = spark.createDataFrame(facts, "header string, width int, absent string")
+    shaped = files.join(shape, "header", "left")
     counts = []
     for width in sorted({n for _, n, absent in facts if n and absent is None}):
         paths = [r.path for r in shaped.filter((F.col("width") == width) & F.col("absent").isNull() & F.col("is_utf8")).select("path").collect()]
@@ -90,6 +114,7 @@ def _csv_verdicts(files: DataFrame, required: Sequence[str]) -> DataFrame:
         empty = empty.unionByName(part)
     reason = (
         F.when(~F.col("is_utf8"), "not valid UTF-8")
+        .when(~fits, "header is too long")
         .when(F.col("width") == 0, "file is empty or has no header")
         .when(F.col("absent").isNotNull(), F.col("absent"))
         .when(F.col("bad") > 0, F.format_string("%d row(s) with a field count other than %d", "bad", "width"))
@@ -112,7 +137,7 @@ def _json_verdicts(files: DataFrame) -> DataFrame:
     reason = (
         F.when(~F.col("is_utf8"), "not valid UTF-8")
         .when((F.col("bad") > 0) & (F.col("opens") == "[") & (F.col("closes") == "]"), "malformed JSON or an element that is not an object")
-        .when((F.col("bad") > 0) | (F.col("opens") == ""), "malformed JSON")
+        .when((F.col("bad") > 0) | (F.col("opens") == "") | ~F.col("one_json"), "malformed JSON")
         .when(F.col("opens") != "[", "top level must be a JSON array of records")
         .when(F.col("closes") != "]", "malformed JSON")
     )
@@ -148,12 +173,12 @@ def read_csv_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     are put side by side by column name."""
     first = (
         spark.read.format("binaryFile").load(list(files))
-        .select("path", F.substring_index(_without_bom(F.col("content")), "\n", 1).alias("line"))
+        .select("path", header_record(_without_bom(F.col("content"))).alias("line"))
         .collect()
     )
     groups: dict[str, list[str]] = {}
     for row in first:
-        groups.setdefault(row.line.rstrip("\r"), []).append(row.path)
+        groups.setdefault(row.line, []).append(row.path)
     rows = None
     for line in sorted(groups):
         part = read_text_rows(spark, sorted(groups[line]), "csv").select("*", decoded(F.col("_metadata.file_path")).alias("_path"))

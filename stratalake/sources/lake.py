@@ -16,6 +16,7 @@ from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratalake.sources import fs
 
@@ -45,18 +46,27 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
-def text_partitions(spark: SparkSession) -> None:
-    """Partition folders are text: a batch called 0042 must not become the number 42."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+#: Partition columns, which are text: a batch called 0042 must not become the number 42.
+PARTITION_COLUMNS = ("batch_id", "key_bucket", "version")
+
+
+def read_folders(spark: SparkSession, folders: Sequence[str], base: str | None = None) -> DataFrame:
+    """Parquet folders with every column any of their files has, and partition columns as text.
+
+    A schema that is given decides the types of partition columns, so no setting of the session is touched.
+    """
+    options = {"basePath": base} if base else {}
+    found = spark.read.options(mergeSchema=True, **options).parquet(*folders).schema
+    text = StructType([StructField(f.name, StringType() if f.name in PARTITION_COLUMNS else f.dataType, True) for f in found.fields])
+    return spark.read.options(**options).schema(text).parquet(*folders)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """A plain parquet table with every column any of its files has; None if there is no data."""
     if not fs.exists(spark, path):
         return None
-    text_partitions(spark)
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return read_folders(spark, [path])
     except AnalysisException as exc:
         if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
@@ -71,9 +81,7 @@ def batches_present(spark: SparkSession, path: str) -> DataFrame:
 
 def read_partitions(spark: SparkSession, path: str, batch_ids: Sequence[str]) -> DataFrame:
     """The given batches of a table. Only their folders are listed and only their schemas merged."""
-    text_partitions(spark)
-    folders = [f"{path}/batch_id={quote(b, safe=' ')}" for b in batch_ids]
-    return spark.read.options(basePath=path, mergeSchema=True).parquet(*folders)
+    return read_folders(spark, [f"{path}/batch_id={quote(b, safe=' ')}" for b in batch_ids], path)
 
 
 def write_batches(df: DataFrame, path: str) -> None:

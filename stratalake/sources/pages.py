@@ -15,20 +15,55 @@ def judge_pages(envelopes: DataFrame, watermark_field: str, body: str = "body")
     parsed = envelopes.withColumn("_page", F.from_json(body, ENVELOPE))
     data = F.col("_page.data")
     lacks_field = F.exists(data, lambda row: ~F.coalesce(F.map_contains_key(row, watermark_field), F.lit(False)))
+    stamp = lambda row: row[watermark_field].try_cast("timestamp")
     reason = (
         F.when(F.col(body).isNull() | F.try_parse_json(body).isNull(), "Response is not valid JSON")
         .when(data.isNull() | F.exists(data, lambda row: row.isNull()), "Response must be an object with a 'data' list")
         .when(lacks_field, f"Row is missing watermark field '{watermark_field}'")
+        .when(F.exists(data, lambda row: stamp(row).isNull()), f"Row has an unreadable watermark field '{watermark_field}'")
     )
     return parsed.withColumn("reason", reason)
 
 
+def incomplete_pages(judged: DataFrame) -> DataFrame:
+    """One row with ``reason``: why the valid envelopes are not a whole set of pages; NULL if they are.
+
+    Pages count from 1 without gaps or repeats, the last one has no more behind it, and the rows are as
+    many as the stated total. Where envelopes don't number their pages or state a total, that is not asked.
+    """
+    seen = judged.filter("reason is null").agg(
+        F.count(F.lit(1)).alias("envelopes"),
+        F.count("_page.page").alias("numbered"),
+        F.count_distinct("_page.page").alias("different"),
+        F.min("_page.page").alias("first"),
+        F.max("_page.page").alias("last"),
+        F.max_by(F.coalesce("_page.has_more", F.lit(False)), F.coalesce("_page.page", F.lit(0))).alias("more"),
+        F.sum(F.size("_page.data")).alias("rows"),
+        F.min("_page.total").alias("least"),
+        F.max("_page.total").alias("total"),
+    )
+    gaps = (F.col("numbered") > 0) & ((F.col("first") != 1) | (F.col("different") != F.col("last")) | (F.col("different") != F.col("envelopes")))
+    return seen.select(
+        F.when(gaps, F.format_string("Pages are not 1 to %d once each", "last"))
+        .when(F.col("more"), "The last page says that there are more")
+        .when(F.col("least") != F.col("total"), "Pages state different totals")
+        .when(F.col("rows") != F.col("total"), F.format_string("Pages hold %d rows of a total of %d", "rows", "total"))
+        .alias("reason")
+    )
+
+
 def explode_pages(
-    envelopes: DataFrame, watermark_field: str, fields: Sequence[str], body: str = "body"
+    envelopes: DataFrame, watermark_field: str, fields: Sequence[str] | None = None, body: str = "body"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows with the given fields as text, refused envelopes with a reason)."""
+    """(rows with their fields as text, refused envelopes with a reason).
+
+    Without ``fields``, a row keeps every field that any row has; their names are collected.
+    """
     judged = judge_pages(envelopes, watermark_field, body)
     rows = judged.filter("reason is null").select(F.explode("_page.data").alias("row"))
+    if fields is None:
+        found = rows.select(F.explode(F.map_keys("row")).alias("name")).distinct().orderBy("name").collect()
+        fields = [r["name"] for r in found] or [watermark_field]
     return (
         rows.select(*[F.col("row")[f].alias(f) for f in fields]),
         judged.filter("reason is not null").select(body, "reason"),

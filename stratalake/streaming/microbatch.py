@@ -53,15 +53,15 @@ def bronze_streams(
 
 
 def silver_stream(
-    spark: SparkSession, lake: Lake, dataset: str, checkpoint: str, state: State | None = None
+    spark: SparkSession, lake: Lake, dataset: str, checkpoint: str, state: State | None = None, with_source_rules: bool = False
 ) -> StreamingQuery:
-    """Bring bronze batches into silver as their files appear."""
+    """Bring bronze batches into silver as their files appear: typed, judged, quarantined, upserted."""
     path = lake.table_path("bronze", dataset)
     arrivals = spark.readStream.schema(tables.read_table(spark, path).schema).parquet(path)
 
     def load(micro: DataFrame, _: int) -> None:
         if not micro.isEmpty():
-            load_silver(spark, lake, dataset, state)
+            load_silver(spark, lake, dataset, state, with_source_rules=with_source_rules)
 
     return (
         arrivals.select("batch_id").writeStream.foreachBatch(load)
