@@ -27,7 +27,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.cleaned(docs)
+    """Passages of over 50 words, however few bytes they have; anchors are runs of 13 words."""
+    return suffix_dedup.cleaned(docs, 51, 13, words=True)
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,11 @@ document or another. Suffixes of all documents are sorted in partitions:
   in one partition of bounded size: the windows of its stretches are compared by fingerprint, first
   within each task, which settles most, then what is left of each task, dealt out by fingerprint.
 
+With ``words``, lengths, places and windows are counted in words (runs of bytes other than ASCII white
+space; which white space parts them plays no part), so what goes are passages of ``length`` words or more:
+suffixes are sorted for the bytes of the shortest such passage, and of the windows of words in what
+repeats so far those that are equal as a whole are told exactly.
+
 What is decided follows from a text and the number of its copies alone, so places are known by text_key.
 
 Defined results: a null text has no bytes; texts shorter than ``length`` lose nothing; a text that stands
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +58,7 @@ def window_anchors(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, sizes, anchor hashes and content hashes of one text's stretches.
+    """Starts, sizes, anchor hashes and content hashes of one text's stretches, from its bytes or word hashes.
 
     A text of 2**28 bytes or more is worked on in overlapping pieces.
     """
@@ -65,7 +71,7 @@ def stretches(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.
         return none, none, none.astype(np.uint64), none.astype(np.uint64)
     up, down = W.powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(W._VALUES[data] * up[: len(data)], out=sums[1:])
+    np.cumsum((W._VALUES[data] if data.dtype == np.uint8 else data) * up[: len(data)], out=sums[1:])
     n = len(data) - gram + 1
     grams = W.mix((sums[gram : gram + n] - sums[:n]) * down[:n])
     anchors = window_anchors(grams, length - gram + 1)
@@ -74,16 +80,28 @@ def stretches(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.
     return new, ends - new, grams[anchors[new]], W.mix((sums[ends] - sums[new]) * down[new] + (ends - new).astype(np.uint64))
 
 
-def text_stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row for each different stretch of each text, with its places in the text and its copies."""
+def least_bytes(length: int, words: bool) -> int:
+    """The bytes of the shortest window."""
+    return 2 * length - 1 if words else length
+
+
+def text_stretches(docs: DataFrame, length: int, gram: int, words: bool = False) -> DataFrame:
+    """One row for each different stretch of each text, with its places in the text and its copies.
+
+    With ``words`` also the byte where the first place starts, and the bytes there.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch):
                 data, rows = W.text_bytes(part.column(1))
+                if words:
+                    heads = rows
+                    starts, ends, rows = W.spans(data, rows, W.NOT_SPACE)
+                    data = W.hashes(data, starts, ends, lower=False)
                 keys = part.column(0).to_numpy()
                 _, first, copies = np.unique(keys, return_index=True, return_counts=True)
-                out: list[list] = [[] for _ in range(6)]
+                out: list[list] = [[] for _ in range(8)]
                 for k, times in zip(first.tolist(), copies.tolist()):
                     at, size, anchor, content = stretches(data[rows[k] : rows[k + 1]], length, gram)
                     _, one, which = np.unique(content, return_index=True, return_inverse=True)
@@ -95,16 +113,22 @@ def text_stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     out[3].append(size[one])
                     out[4].append((at[order], counts))
                     out[5].append(counts * times)
+                    if words:
+                        begin = at[one] + rows[k]
+                        out[6].append(starts[begin] - heads[k])
+                        out[7].append(ends[begin + size[one] - 1] - starts[begin])
                 if not out[0]:
                     continue
                 lists = np.concatenate([[0], np.cumsum(np.concatenate([c for _, c in out[4]]))])
                 places = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(np.concatenate([a for a, _ in out[4]]), pa.int32()))
                 flat = [np.concatenate(c) for c in (*out[:4], out[5])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat[0]), pa.array(flat[1]), pa.array(flat[2]), pa.array(flat[3], pa.int32()), places, pa.array(flat[4], pa.int64())],
-                    ["text_key", "anchor", "content", "size", "places", "count"])
+                    [pa.array(flat[0]), pa.array(flat[1]), pa.array(flat[2]), pa.array(flat[3], pa.int32()), places, pa.array(flat[4], pa.int64()),
+                     *(pa.array(np.concatenate(c), pa.int32()) for c in out[6:] if words)],
+                    ["text_key", "anchor", "content", "size", "places", "count", *(["place", "bytes"] if words else [])])
 
-    return docs.where(F.octet_length("text") >= length).select(text_key().alias("text_key"), "text").mapInArrow(cut, STRETCH)
+    asked = docs.where(F.octet_length("text") >= least_bytes(length, words)).select(text_key().alias("text_key"), "text")
+    return asked.mapInArrow(cut, STRETCH + (", place int, bytes int" if words else ""))
 
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -116,9 +140,52 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.select("cut.*", F.expr("substring(text, cut.place + 1, cut.size)").alias("bytes"))
 
 
-def _sorted(length: int):
+def word_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """Fingerprint, owner and first word of each window of ``length`` words, and the bytes [from, to) of its owner."""
+    data, rows = W.text_bytes(pa.array(bodies, pa.binary()))
+    starts, ends, before = W.spans(data, rows, W.NOT_SPACE)
+    hashes = W.hashes(data, starts, ends, lower=False)
+    up, down = W.powers(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
+    n = np.maximum(np.diff(before) - length + 1, 0)
+    owner = np.repeat(np.arange(len(bodies)), n)
+    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = before[owner] + start
+    return W.mix((sums[at + length] - sums[at]) * down[at]), owner, start, starts[at] - rows[owner], ends[at + length - 1] - rows[owner]
+
+
+def repeated_words(bodies: list[bytes], weights: list[int], length: int) -> list[list[tuple[int, int]]]:
+    """Per string: runs [a, b) of words that start windows of ``length`` words that start elsewhere too."""
+    plain = [b" ".join(b.split()) for b in bodies]  # splits at ASCII white space
+    least = least_bytes(length, True)
+    sure: list[list[tuple[int, int]]] = suffixes.repeated(plain, weights, least)
+    prints, owner, start, begin, end = word_windows(plain, length)
+    # a window that repeats lies in one run of repeated bytes
+    base = np.concatenate([[0], np.cumsum([len(b) + 1 for b in plain])])
+    heads = np.array([base[k] + a for k, runs in enumerate(sure) for a, _ in runs], np.int64)
+    tails = np.array([base[k] + b for k, runs in enumerate(sure) for _, b in runs], np.int64)
+    if not len(heads):
+        return [[] for _ in bodies]
+    run = np.searchsorted(heads, base[owner] + begin, "right") - 1
+    inside = (run >= 0) & (base[owner] + end - least < tails[run])
+    asked = [(k, a, plain[k][x:y]) for k, a, x, y in zip(*(v[inside].tolist() for v in (owner, start, begin, end)))]
+    times: Counter[bytes] = Counter()
+    for k, _, window in asked:
+        times[window] += weights[k]
+    out: list[list[tuple[int, int]]] = [[] for _ in bodies]
+    for k, a, window in asked:
+        if times[window] > 1:
+            if out[k] and out[k][-1][1] == a:
+                out[k][-1] = (out[k][-1][0], a + 1)
+            else:
+                out[k].append((a, a + 1))
+    return out
+
+
+def _sorted(length: int, words: bool):
     def sort(table: pa.Table) -> pa.Table:
-        runs = suffixes.repeated(table["bytes"].to_pylist(), table["count"].to_pylist(), length)
+        runs = (repeated_words if words else suffixes.repeated)(table["bytes"].to_pylist(), table["count"].to_pylist(), length)
         found = [(c, [{"a": a, "b": b} for a, b in r]) for c, r in zip(table["content"].to_pylist(), runs) if r]
         return pa.table({
             "content": pa.array([c for c, _ in found], pa.int64()),
@@ -140,7 +207,14 @@ def _runs(owner: np.ndarray, start: np.ndarray) -> tuple[list[int], list[list[di
     return list(out), list(out.values())
 
 
-def _hot_windows(length: int, buckets: int):
+def _byte_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    text = suffixes.Strings(bodies, length)
+    at = np.flatnonzero(text.left >= length)
+    owner = text.owner[at]
+    return text.prints(at), owner, at - text.starts[owner]
+
+
+def _hot_windows(length: int, buckets: int, words: bool):
     """Of hot stretches: runs of windows that repeat within the batch, and of all other windows, and once of
     those that repeat, the fingerprints, dealt out to buckets."""
 
@@ -148,17 +222,14 @@ def _hot_windows(length: int, buckets: int):
         for batch in batches:
             for part in W.slices(batch, "bytes"):
                 bodies, count = part.column(2).to_pylist(), part.column(1).to_numpy()
-                text = suffixes.Strings(bodies, length)
-                at = np.flatnonzero(text.left >= length)
-                prints, which = np.unique(text.prints(at), return_inverse=True)
-                owner = text.owner[at]
+                prints, owner, start, *_ = (word_windows if words else _byte_windows)(bodies, length)
+                prints, which = np.unique(prints, return_inverse=True)
                 times = np.bincount(which, count[owner])
-                start = at - text.starts[owner]
                 content = part.column(0).to_numpy()[owner]
                 many = times[which] > 1
                 found, runs = _runs(content[many], start[many])
                 first = np.full(len(prints), -1)
-                first[which[::-1]] = np.arange(len(at))[::-1]
+                first[which[::-1]] = np.arange(len(owner))[::-1]
                 bucket = (prints % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)) if len(order) else []
@@ -187,16 +258,18 @@ def _hot_bucket(table: pa.Table) -> pa.Table:
     return pa.table({"content": pa.array(found, pa.int64()), "runs": pa.array(runs, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))})
 
 
-def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(text_key, cuts): the byte ranges [a, b) to remove from each text, for texts that have any."""
+def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False) -> DataFrame:
+    """(text_key, cuts): the ranges [a, b) of bytes, or words, to remove from each text, for texts that have any."""
     docs = docs.select("text")
-    cut = stored(text_stretches(docs, length, gram), "stretches")
+    cut = stored(text_stretches(docs, length, gram, words), "stretches")
+    more = ["place", "bytes"] if words else []
+    at = F.struct("text_key", *(more or [F.col("places")[0].alias("place"), F.col("size").alias("bytes")]))
     anchors = cut.groupBy("anchor").agg(F.sum("count").alias("n")).where("n > 1").select("anchor")
     places = stored(
-        cut.join(anchors, "anchor").groupBy("text_key", "anchor", "content", "size").agg(F.sum("count").alias("count"), F.first("places").alias("places")), "places")
+        cut.join(anchors, "anchor").groupBy("text_key", "anchor", "content", "size").agg(F.sum("count").alias("count"), F.first("places").alias("places"), *[F.first(m).alias(m) for m in more]), "places")
     contents = places.groupBy("anchor", "content", "size").agg(
-        F.sum("count").alias("count"), F.min(F.struct("text_key", F.col("places")[0].alias("place"))).alias("at"))
-    contents = stored(contents.select("anchor", "content", "size", "count", "at.text_key", "at.place"), "contents")
+        F.sum("count").alias("count"), F.min(at).alias("at"))
+    contents = stored(contents.select("anchor", "content", F.col("at.bytes").alias("size"), "count", "at.text_key", "at.place"), "contents")
     hot = stored(contents.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select("anchor"), "hot")
     total = contents.agg(F.sum("size")).first()[0] or 0
     parts = max(1, math.ceil(total / PART_BYTES))
@@ -204,10 +277,10 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
         "text_key", "place", "size", "content", "count", F.coalesce("hot", F.lit(False)).alias("hot"), F.pmod(F.xxhash64("anchor"), F.lit(parts)).alias("part"))
     bodies = stored(_with_bytes(docs, marked), "bodies")
     kind = "content bigint, runs array<struct<a:int,b:int>>"
-    found = bodies.where("not hot").select("part", "content", "count", "bytes").groupBy("part").applyInArrow(_sorted(length), kind)
+    found = bodies.where("not hot").select("part", "content", "count", "bytes").groupBy("part").applyInArrow(_sorted(length, words), kind)
     if not hot.isEmpty():
         size = contents.join(hot, "anchor", "left_semi").agg(F.sum("size")).first()[0]
-        dealt = bodies.where("hot").select("content", "count", "bytes").mapInArrow(_hot_windows(length, max(1, math.ceil(size / PART_BYTES))), HOT_ROWS)
+        dealt = bodies.where("hot").select("content", "count", "bytes").mapInArrow(_hot_windows(length, max(1, math.ceil(size / PART_BYTES)), words), HOT_ROWS)
         dealt = stored(dealt, "windows")
         found = found.unionAll(dealt.where("bucket is null").select("content", "runs")).unionAll(
             dealt.where("bucket is not null").groupBy("bucket").applyInArrow(_hot_bucket, kind))
@@ -219,7 +292,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
 
 
 def merged(cuts: list[dict] | None) -> list[tuple[int, int]]:
-    """Byte ranges as maximal ones, in order."""
+    """Ranges as maximal ones, in order."""
     out: list[tuple[int, int]] = []
     for a, b in sorted((c["a"], c["b"]) for c in cuts or ()):
         if out and a <= out[-1][1]:
@@ -250,9 +323,9 @@ def whole_characters(text: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def _with_cuts(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def _with_cuts(docs: DataFrame, length: int, gram: int, words: bool = False) -> DataFrame:
     """(row, cuts): only documents that may lose something move to meet their cuts."""
-    runs = stored(repeated_runs(docs, length, gram), "cuts")
+    runs = stored(repeated_runs(docs, length, gram, words), "cuts")
     marked = flagged(docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")), runs)
     none = F.lit(None).cast(runs.schema["cuts"].dataType).alias("cuts")
     return marked.where("not flag").select("row", none).unionAll(
@@ -282,8 +355,8 @@ def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     return done.select("row.row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The documents without their repeated passages (whole characters), with their own columns.
+def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False) -> DataFrame:
+    """The documents without their repeated passages (whole characters, or words), with their own columns.
 
     ``n_chars``, where there is such a column, is counted anew; all other columns stay.
     """
@@ -292,14 +365,17 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         def cut(batch: pa.RecordBatch) -> list:
             data, rows = W.text_bytes(batch.column(0))
             body, texts = data.tobytes(), []
-            for a, b, cuts in zip(rows[:-1], rows[1:], batch.column(1).to_pylist()):
-                text = body[a:b]
-                texts.append(without(text, whole_characters(text, merged(cuts))).decode("utf-8", "replace") if cuts else None)
+            starts, ends, before = W.spans(data, rows, W.NOT_SPACE) if words else (None, None, rows)
+            for a, b, first, cuts in zip(rows[:-1], rows[1:], before, batch.column(1).to_pylist()):
+                text, ranges = body[a:b], merged(cuts)
+                if words:
+                    ranges = [(starts[first + x] - a, ends[first + y - 1] - a) for x, y in ranges]
+                texts.append(without(text, whole_characters(text, ranges)).decode("utf-8", "replace") if cuts else None)
             return [texts]
 
         return cut
 
-    done = appended(_with_cuts(docs, length, gram), {"text": F.col("row.text"), "cuts": F.col("cuts")}, "_left string", work, "text")
+    done = appended(_with_cuts(docs, length, gram, words), {"text": F.col("row.text"), "cuts": F.col("cuts")}, "_left string", work, "text")
     changed = {
         "text": F.coalesce("_left", "row.row.text"),
         "n_chars": F.when(F.col("_left").isNull(), F.col("row.row.n_chars")).otherwise(F.length("_left").cast("bigint")) if "n_chars" in docs.columns else None}

@@ -49,3 +49,17 @@ def test_quality_stage_is_the_classifier(spark):
     good = {r.doc_id for r in compression.report(docs, labels).where("predicted = 1").collect()}
     assert {r.doc_id for r in corpus_pipeline.quality(spark, docs, SF).collect()} == good
     assert corpus_pipeline.near_copies(spark, docs, SF).count() <= jaccard_join.report(docs).count()
+
+
+def test_passages_of_over_50_short_words_go(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice("abcdefghij") + str(rng.randrange(100)) for _ in range(n))
+    texts = {}
+    for n in (50, 51, 55, 60):
+        passage = text(n)
+        texts |= {n: f"{text(40)}\n{passage} {text(30)}", n + 100: f"{text(20)} {passage}\n{text(50)}"}
+    letters = " ".join(rng.choice("abcdefghij") for _ in range(51))
+    texts |= {1: letters + " " + text(20), 2: text(20) + " " + letters}
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts.items()], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = {r.doc_id: len(r.text.split()) for r in corpus_pipeline.passages(spark, docs, SF).collect()}
+    assert left == {50: 120, 150: 120, 51: 70, 151: 70, 55: 70, 155: 70, 60: 70, 160: 70, 1: 20, 2: 20}

@@ -107,5 +107,29 @@ def test_cleaned_texts_stay_text_and_keep_columns(table, spark):
     assert (got[1].text, got[1].n_chars, got[2].text) == ("é1", 2, "ê2") and got[3].text == "short" and got[4].text is None
 
 
+def brute_words(docs, length):
+    times = Counter(tuple(w[i : i + length]) for w in docs for i in range(len(w) - length + 1))
+    out = []
+    for w in docs:
+        hit = [i for i in range(len(w) - length + 1) if times[tuple(w[i : i + length])] > 1]
+        gone = {k for i in hit for k in range(i, i + length)}
+        out.append([x for k, x in enumerate(w) if k not in gone])
+    return out
+
+
+@pytest.mark.parametrize("seed, hot", [(1, 1000), (2, 1), (3, 3)])
+def test_passages_counted_in_words_like_brute_force(table, spark, monkeypatch, seed, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(seed)
+    words = lambda n: [rng.choice(["a", "b", "é", "ccc"]) for _ in range(n)]
+    shared, line = words(30), words(13)
+    docs = [words(rng.randint(0, 20)) + rng.choice([shared, line, [], line[2:], shared[:19]]) + words(rng.randint(0, 25)) for _ in range(40)]
+    docs += [["x"] * 50, words(8) + ["y"] * 11, docs[3], docs[3], []]
+    gaps = [" ", "\n", "  ", "\t"]
+    texts = [rng.choice(["", " "]) + "".join(w + rng.choice(gaps) for w in d) for d in docs]
+    got = {r.doc_id: r.text.split() for r in suffix_dedup.cleaned(table(list(enumerate(texts))), 12, 3, words=True).collect()}
+    assert [got[k] for k in range(len(docs))] == brute_words(docs, 12)
+
+
 def test_empty_table(table, spark):
     assert suffix_dedup.report(table([])).count() == 0
