@@ -2,10 +2,11 @@
 
 Only DataFrame functions and Spark's own tree learner run here. Rules name a host (with all its
 subdomains) and a path prefix; of those that fit, the longest wins. URLs that a rule judges are the
-labelled ones: the trees learn from a bounded sample of them (``TRAINING`` URLs, chosen by a hash)
-and judge the URLs that no rule fits. Features: lengths, depth, digit ratio, character entropy,
-counts of parameters and marks, and statistics of the suffix: how often labelled URLs with the same
-last host label, and with the same last two, are blocked, smoothed.
+labelled ones: the trees learn from a bounded sample of them (``TRAINING`` different URLs, half of them of
+each verdict, chosen by a hash and weighted to the verdicts' natural rates) and judge the URLs that no rule
+fits. Features: lengths, depth, digit ratio, character entropy, counts of parameters and marks, and
+statistics of the suffix: how often labelled URLs with the same last host label, and with the same last
+two, are blocked, smoothed. The statistics count all labelled rows.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and fits no rule; repeated
 rows are judged alike; without labelled URLs of both kinds, everything that no rule fits is allowed.
@@ -78,30 +79,46 @@ def lexical(urls: DataFrame, url: str = "url") -> DataFrame:
         "_suffix": F.substring_index("host", ".", -1), "_domain": F.substring_index("host", ".", -2)}).drop("_u")
 
 
+def labelled_urls(pages: DataFrame, url: str = "url") -> DataFrame:
+    """(url, y, _suffix, _domain, copies): each different URL that a rule judges, once."""
+    known = lexical(pages.select(F.col(url).alias("url"))).where("verdict is not null")
+    y = (F.col("verdict") == "block").cast("double").alias("y")
+    return stored(known.groupBy("url", y, "_suffix", "_domain").agg(F.count("*").alias("copies")), "labelled")
+
+
+def statistics(urls: DataFrame) -> dict[str, DataFrame]:
+    """Per suffix and per domain: blocked rows ``s`` and rows ``n`` of all labelled URLs."""
+    return {
+        key: stored(urls.groupBy(key).agg(F.sum(F.col("y") * F.col("copies")).alias("s"), F.sum("copies").alias("n")), key.strip("_"))
+        for key in ("_suffix", "_domain")}
+
+
 def judged(pages: DataFrame, url: str = "url") -> DataFrame:
     """All columns of ``pages``, host, path, rule and verdict. ``pages`` must not have these four."""
-    known = lexical(pages.select(url), url).where("verdict is not null").withColumn("y", (F.col("verdict") == "block").cast("double"))
-    sample = stored(known.orderBy(F.xxhash64(url), url).limit(TRAINING), "urls")
-    sums = {key: sample.groupBy(key).agg(F.sum("y").alias("s"), F.count("*").alias("n")).collect() for key in ("_suffix", "_domain")}
-    total, n = sum(r.s for r in sums["_suffix"]), sum(r.n for r in sums["_suffix"])
+    urls = labelled_urls(pages, url)
+    sums = statistics(urls)
+    kinds = {r.y: r for r in urls.groupBy("y").agg(F.sum("copies").alias("n"), F.count("*").alias("urls")).collect()}
     chosen = lexical(pages, url)
-    if not 0 < total < n:
+    if len(kinds) < 2:
         return chosen.select(*pages.columns, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
-    base = total / n
-    spark = pages.sparkSession
+    base = kinds[1.0].n / (kinds[0.0].n + kinds[1.0].n)
+    half = TRAINING // 2
+    picked = [urls.where(F.col("y") == y).orderBy(F.xxhash64("url"), "url").limit(half) for y in (0.0, 1.0)]
+    weights = {y: max(1.0, r.urls / half) for y, r in kinds.items()}
+    sample = picked[0].unionAll(picked[1]).select("url", "y", "copies", F.when(F.col("y") == 1, weights[1.0]).otherwise(weights[0.0]).alias("_weight"))
+    sample = stored(lexical(sample, "url"), "urls")
 
     def with_statistics(df: DataFrame, own: bool) -> DataFrame:
-        """Smoothed shares of blocked URLs; a training URL's own label is left out of its statistics."""
+        """Smoothed shares of blocked URLs; a training URL's own labels are left out of its statistics."""
         for key, out in (("_suffix", "suffix_blocked"), ("_domain", "domain_blocked")):
-            table = F.broadcast(spark.createDataFrame([(r[0], r.s, r.n) for r in sums[key]], f"{key} string, s double, n bigint"))  # at most TRAINING rows
             s, m = F.coalesce("s", F.lit(0.0)), F.coalesce("n", F.lit(0))
-            s, m = (s - F.col("y"), m - 1) if own else (s, m)
-            df = df.join(table, key, "left").withColumn(out, (s + 5 * base) / (m + 5)).drop("s", "n")
+            s, m = (s - F.col("y") * F.col("copies"), m - F.col("copies")) if own else (s, m)
+            df = df.join(sums[key], key, "left").withColumn(out, (s + 5 * base) / (m + 5)).drop("s", "n")
         return df
 
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    trees = GBTClassifier(labelCol="y", featuresCol="_features", maxIter=TREES, maxDepth=DEPTH, seed=7, predictionCol="_predicted").setProbabilityCol("_chance").setRawPredictionCol("_raw")
-    model = trees.fit(assemble.transform(with_statistics(sample, True)).select("_features", "y"))
+    trees = GBTClassifier(labelCol="y", featuresCol="_features", maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="_weight", predictionCol="_predicted").setProbabilityCol("_chance").setRawPredictionCol("_raw")
+    model = trees.fit(assemble.transform(with_statistics(sample, True)).select("_features", "y", "_weight"))
     scored = model.transform(assemble.transform(with_statistics(chosen, False)))
     guess = F.when(vector_to_array("_chance")[1] >= 0.5, "block").otherwise("allow")
     return scored.select(*pages.columns, "host", "path", "rule", F.coalesce("verdict", guess).alias("verdict"))

@@ -53,6 +53,26 @@ def test_trees_learn_lexical_signs_from_labelled_urls(spark):
     assert asked[:40].count("block") >= 36 and asked[40:].count("allow") >= 36
 
 
+def test_a_hot_url_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "TRAINING", 200)
+    rows = []
+    for k in range(150):
+        rows += [f"http://a{k}.example.com/de/{k}?p={k}&q=1&r=2&s=3", f"https://b.example.org/fr/{k}"]
+    found = pages(spark, rows).orderBy(F.xxhash64("url")).first().url
+    asked = [f"http://c{k}.example.io/xx/{k}?p={k}&q=1&r=2&s=3" for k in range(20)] + [f"https://d.example.io/xx/{k}" for k in range(20)]
+    got = {r.page_id: r.verdict for r in url_filter.report(pages(spark, [*asked, *rows, *[found] * 400])).collect()}
+    verdicts = [got[k] for k in range(40)]
+    assert verdicts[:20].count("block") >= 18 and verdicts[20:].count("allow") >= 18
+
+
+def test_statistics_count_all_labelled_urls(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "TRAINING", 4)
+    rows = [f"http://d{k}.net/{j}" for k in range(30) for j in range(k + 1)] + ["http://e.org/fr/"] * 5 + ["http://e.org/en/"] * 7
+    sums = url_filter.statistics(url_filter.labelled_urls(pages(spark, rows)))
+    assert {r[0]: (r.s, r.n) for r in sums["_domain"].collect()} == {f"d{k}.net": (k + 1, k + 1) for k in range(30)} | {"e.org": (0, 5)}
+    assert {r[0]: (r.s, r.n) for r in sums["_suffix"].collect()} == {"net": (465, 465), "org": (0, 5)}
+
+
 def test_no_labels_and_no_rows(spark):
     assert {r.verdict for r in url_filter.report(pages(spark, ["http://x.io/", None])).collect()} == {"allow"}
     assert url_filter.report(pages(spark, [])).count() == 0
