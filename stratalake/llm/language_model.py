@@ -6,8 +6,8 @@ one unseen word per class, so all chances sum to at most 1. A text's score is th
 of its classes and end, by the scaled forward recursion, plus those of the words within them.
 
 All counts cover every training text (each that isn't held out). Word counts are summed over partitions and
-kept as a table. Baum-Welch counts are summed over partitions too, in ``ROUNDS`` passes over all
-training texts; only where the states begin comes from a bounded sample (``SAMPLE`` texts).
+kept as a table. The states begin as seeded perturbations of the classes' overall chances, and Baum-Welch
+counts are summed over partitions too, in ``ROUNDS`` passes over all training texts.
 
 Bounds: the ``TOP`` most frequent words with counts, CLASSES, and states x classes numbers are broadcast,
 whatever the size of the input. Texts' other words meet the table of counts in a join; as the frequent
@@ -31,7 +31,7 @@ from stratalake.llm import words as W
 from stratalake.llm.scratch import stored
 from stratalake.llm.training import crc32_of_id
 
-TOP, OWN, SHARED, STATES, ROUNDS, SAMPLE = 1 << 18, 1 << 14, 1 << 12, 6, 1, 2_000
+TOP, OWN, SHARED, STATES, ROUNDS = 1 << 18, 1 << 14, 1 << 12, 6, 5
 CLASSES, BLOCK = OWN + SHARED, 2_048
 END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 1 << 22
@@ -160,13 +160,9 @@ def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def trained(texts: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> markov.Chain:
-    """Baum-Welch over all rows of ``texts`` (a binary column ``classes``), from where a sample begins."""
+    """Baum-Welch over all rows of ``texts`` (a binary column ``classes``) in each round."""
     spark = texts.sparkSession
-    sample = texts.select("classes").orderBy(F.xxhash64("classes")).limit(SAMPLE).toArrow()["classes"].combine_chunks()
-    symbols, rows = _sequences(sample.cast(pa.binary()))
-    chain = markov.first_chain(symbols, rows, vocabulary.usual, states)
-    for _ in range(2 if len(symbols) else 0):
-        chain = markov.refitted(*markov.expected_counts(chain, symbols, rows), vocabulary.usual)
+    chain = markov.seeded_chain(vocabulary.usual, states)
     size = states + states * states + states * CLASSES
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(chain)  # states x CLASSES numbers

@@ -132,6 +132,14 @@ def refitted(first: np.ndarray, move: np.ndarray, emit: np.ndarray, usual: np.nd
     return Chain((first + 1) / (first + 1).sum(), (move + 1) / (move + 1).sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
+def seeded_chain(usual: np.ndarray, states: int, spread: float = 0.5, seed: int = 5) -> Chain:
+    """A chain to begin with that no text was drawn for: each state's emissions are the symbols' overall chances, perturbed."""
+    emit = usual[:, None] * np.exp(spread * np.random.default_rng(seed).standard_normal((len(usual), states)))
+    move = np.full((states, states), 0.1 / max(states - 1, 1))
+    np.fill_diagonal(move, 0.9)
+    return Chain(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
 def first_chain(symbols: np.ndarray, rows: np.ndarray, usual: np.ndarray, states: int, rounds: int = 12, seed: int = 5) -> Chain:
     """A chain to begin with: states as clusters of whole rows, each row drawn from one state's emissions."""
     rng = np.random.default_rng(seed)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratalake.llm import language_model, markov
 
@@ -122,3 +123,16 @@ def test_chances_within_a_class_sum_to_at_most_one(spark, table):
         inside = [r.c for r in rows if r.shared == shared and r.h not in own]
         total = sum(10 ** v.within(np.array([shared]), np.array([c]))[0] for c in inside)
         assert total + 10 ** v.within(np.array([shared]), np.array([0]))[0] == pytest.approx(1)
+
+
+def test_all_rounds_count_all_training_texts(spark):
+    rng = np.random.default_rng(4)
+    rows = [rng.choice(40, 12) + 40 * int(rng.integers(0, 3)) for _ in range(2_200)] + [np.arange(9)] * 900
+    symbols, at = np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    usual = (np.bincount(symbols, minlength=language_model.CLASSES) + 0.5) / (len(symbols) + 0.5 * language_model.CLASSES)
+    chain = markov.seeded_chain(usual, 3)
+    for _ in range(2):
+        chain = markov.refitted(*markov.expected_counts(chain, symbols, at), usual)
+    texts = spark.createDataFrame([(r.astype("<u2").tobytes(),) for r in rows], "classes binary").repartition(3, F.rand(1))
+    got = language_model.trained(texts, type("V", (), {"usual": usual}), 3, 2)
+    assert np.allclose(got.emit, chain.emit) and np.allclose(got.move, chain.move) and np.allclose(got.start, chain.start)
