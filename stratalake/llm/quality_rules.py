@@ -1,7 +1,7 @@
 """Quality rules: counts of each text, and a hashed n-gram logistic regression learned from labels.
 
 Features are hashed word unigrams and bigrams and byte 3-grams and 5-grams of the text; each kind counts
-as relative frequencies in ``2**BITS`` cells. The regression is fitted on a bounded sample of labelled
+as relative frequencies in ``2**BITS`` cells; no n-gram crosses the end of its text. The regression is fitted on a bounded sample of labelled
 rows by full gradient steps (AdaGrad), calibrated on other labelled rows at their natural rates, and
 scored in Arrow batches against the fixed threshold ``THRESHOLD``.
 
@@ -89,8 +89,9 @@ class Texts:
     def features(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per kind of n-gram: cells of all n-grams, and where each row starts among them."""
         shift = np.uint64(64 - BITS)
-        pair = self.hashes[:-1] ^ W.mix(self.hashes[1:]) if len(self.hashes) > 1 else np.zeros(0, np.uint64)
-        out = [((self.hashes >> shift).astype(np.int32), self.words), ((pair >> shift).astype(np.int32), np.minimum(self.words, len(pair)))]
+        at, pairs = _inside(self.words, 2)
+        pair = self.hashes[at] ^ W.mix(self.hashes[at + 1])
+        out = [((self.hashes >> shift).astype(np.int32), self.words), ((pair >> shift).astype(np.int32), pairs)]
         wide = self.data.astype(np.uint64)
         for size in (3, 5):
             n = max(0, len(wide) - size + 1)
@@ -98,12 +99,24 @@ class Texts:
             for k in range(1, size):
                 gram |= wide[k : k + n] << np.uint64(8 * k)
             gram *= np.uint64(0x9E3779B97F4A7C15 + 2 * size)
-            out.append(((gram >> shift).astype(np.int32), np.minimum(self.rows, n)))
+            at, grams = _inside(self.rows, size)
+            out.append(((gram >> shift).astype(np.int32)[at], grams))
         return out
 
 
+def _inside(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the ``size``-grams that end within their row, and where each row starts among them."""
+    counts = np.maximum(np.diff(rows) - size + 1, 0)
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    return np.arange(begins[-1]) + np.repeat(rows[:-1] - begins[:-1], counts), begins
+
+
 def _means(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return row_sums(values, rows) / np.maximum(np.diff(rows), 1)
+    """Each row is summed by itself, so that its neighbours don't round it."""
+    sizes, sums = np.diff(rows), np.zeros(len(rows) - 1)
+    if len(values):
+        sums[sizes > 0] = np.add.reduceat(values, rows[:-1][sizes > 0])
+    return sums / np.maximum(sizes, 1)
 
 
 def raw_scores(features: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray) -> np.ndarray:

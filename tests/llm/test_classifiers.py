@@ -39,6 +39,17 @@ def test_counts_like_brute_force():
         assert tuple(int(got[c][k]) for c in quality_rules.COUNTS) == brute_counts(text), repr(text)
 
 
+def test_a_text_scores_the_same_alone_between_others_and_as_a_copy():
+    texts = [*odd_texts(), "a b", "x", "one two three " * 30, "a b"]
+    weights = np.random.default_rng(3).normal(size=(4, 1 << quality_rules.BITS)).astype(np.float32)
+    score = lambda rows: quality_rules.raw_scores(quality_rules.Texts(pa.array(rows, pa.string())).features(), weights)
+    alone = [score([t])[0] for t in texts]
+    assert score(texts).tolist() == alone and score(texts[::-1]).tolist() == alone[::-1]
+    assert alone[-1] == alone[-4] and score([]).tolist() == []
+    sizes = [np.diff(rows).tolist() for _, rows in quality_rules.Texts(pa.array(["a b c", "", "d e", "f"])).features()]
+    assert sizes == [[3, 0, 2, 1], [2, 0, 1, 0], [3, 0, 1, 0], [1, 0, 0, 0]]
+
+
 def test_logistic_fit():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 2))
