@@ -4,8 +4,12 @@ A page is cut into text blocks with their root-to-leaf tag paths. For each path,
 punctuation are summed over its blocks and divided by their number; both ratios are smoothed over
 the blocks in page order, fused by multiplication, and thresholded. Blocks over the threshold are
 content. Where they lie tells the content's container, the deepest element that holds them all (or,
-where articles or a main part hold most of their weight, those). The text is everything in it but what
-its elements call boilerplate: menus, headers, footers, sidebars, notices, adverts, forms, comments.
+where articles or a main part hold most of their weight, those). The text is everything in it but
+boilerplate. Tags, roles and styles say at once what is none of the text: menus, headers, footers, forms, what is
+hidden. Classes and ids are names that authors choose, so what they call notice, advert, sidebar or comments is
+weighed first, by the content over the threshold that it holds: an element with such a class goes
+if it holds at most half of it, one whose class only has such a part (``has-sidebar``) if it holds none.
+The ratios are then taken of what is left.
 
 Rules of text: character references are decoded, white space in a block becomes one space, blocks are
 joined by one line feed. A line break element is white space.
@@ -49,28 +53,44 @@ _WORDS = re.compile(r"[A-Za-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？؟¿¡]")
 
 
-def is_boilerplate(tag: str, attributes: str) -> bool:
+#: What an element's tag and attributes say: nothing, part of a class is a name, a class is a name, boilerplate.
+PLAIN, PART, NAMED, BOILERPLATE = range(4)
+
+
+def said(tag: str, attributes: str) -> int:
     if tag in DROPPED:
-        return True
+        return BOILERPLATE
     if not attributes.strip() or tag in ("html", "body", "main"):
-        return False
+        return PLAIN
+    most = PLAIN
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
         if name in ("class", "id"):
-            words = [w.lower() for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value))]
-            if NAMES.intersection(words) or {"side", "bar"} <= set(words):
-                return True
+            for token in value.split():
+                words = [w.lower() for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token))]
+                if words and (NAMES.issuperset(words) or "".join(words) in NAMES):
+                    most = NAMED
+                elif NAMES.intersection(words):
+                    most = max(most, PART)
         elif name == "role" and value.strip().lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            return True
+            return BOILERPLATE
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return BOILERPLATE
+    return most
 
 
 class Page:
-    """Blocks of a page: text, tag path, and the numbers of the elements around them."""
+    """Blocks of a page: text, tag path, and the numbers of the elements around them.
 
-    def __init__(self, source: str):
+    Elements whose numbers are in ``without`` are boilerplate. ``named`` tells what the others' classes say, and
+    ``held`` (element, block, size) the pieces of text in those of which they say something.
+    """
+
+    def __init__(self, source: str, without: frozenset[int] = frozenset()):
+        self.without = without
+        self.named: dict[int, int] = {}
+        self.held: list[tuple[int, int, int]] = []
+        self._inside: dict[int, int] = {}
         self.texts: list[str] = []
         self.paths: list[str] = []
         self.around: list[tuple[int, ...]] = []
@@ -103,6 +123,11 @@ class Page:
                 # the path names the block's elements, not the inline ones in it
                 self._place = "/".join(t for t, _, _ in self._stack if t in BLOCKS), tuple(n for t, n, _ in self._stack)
             self._pieces.append(html.unescape(text))
+            if self.named:
+                size = len(" ".join(self._pieces[-1].split()))
+                for _, n, _ in self._stack:
+                    if n in self.named:
+                        self._inside[n] = self._inside.get(n, 0) + size
 
     def _flush(self) -> None:
         text = " ".join("".join(self._pieces).split())
@@ -110,7 +135,8 @@ class Page:
             self.texts.append(text)
             self.paths.append(self._place[0])
             self.around.append(self._place[1])
-        self._pieces, self._place = [], None
+            self.held += [(n, len(self.texts) - 1, size) for n, size in self._inside.items()]
+        self._pieces, self._place, self._inside = [], None, {}
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -127,8 +153,14 @@ class Page:
         elif tag == "br":
             self._pieces.append(" ")
         if tag not in VOID:
-            dropped = bool(self._stack and self._stack[-1][2]) or is_boilerplate(tag, attributes)
-            self._stack.append((tag, len(self.tags), dropped))
+            number = len(self.tags)
+            dropped = bool(self._stack and self._stack[-1][2]) or number in self.without
+            if not dropped:
+                kind = said(tag, attributes)
+                dropped = kind == BOILERPLATE
+                if kind in (PART, NAMED):
+                    self.named[number] = kind
+            self._stack.append((tag, number, dropped))
             self.tags.append(tag)
 
     def _pop_open(self, tag: str, limits: frozenset[str] | set[str]) -> None:
@@ -164,13 +196,31 @@ def path_scores(texts: list[str], paths: list[str]) -> np.ndarray:
     return smoothed(length[which]) * (1 + smoothed(marks[which]))
 
 
+def over_threshold(page: Page) -> np.ndarray:
+    """Which blocks are content."""
+    scores = path_scores(page.texts, page.paths)
+    content = scores >= 0.5 * min(scores.std(), scores.max()) if len(scores) > 1 else np.ones(1, bool)
+    content[np.argmax(scores)] = True
+    return content
+
+
+def named_boilerplate(page: Page) -> frozenset[int]:
+    """Elements that go for their names: they hold at most half of the content, or none where only part of a class is a name."""
+    content = over_threshold(page)
+    total = sum(len(t) for t, c in zip(page.texts, content) if c)
+    held = dict.fromkeys(page.named, 0)
+    for element, block, size in page.held:
+        held[element] += size * bool(content[block])
+    return frozenset(n for n, size in held.items() if (2 * size <= total if page.named[n] == NAMED else size == 0))
+
+
 def main_text(source: str | None) -> str:
     page = Page(source or "")
+    if page.named and page.texts:
+        page = Page(source or "", named_boilerplate(page))
     if not page.texts:
         return ""
-    scores = path_scores(page.texts, page.paths)
-    content = scores >= 0.5 * min(scores.std(), scores.max()) if len(scores) > 1 else np.ones(1, bool)
-    content[np.argmax(scores)] = True
+    content = over_threshold(page)
     weight = np.array([len(t) for t in page.texts], float) * content
     articles = np.array([any(page.tags[k] in ("article", "main") for k in a) for a in page.around])
     if (weight * articles).sum() >= 0.5 * weight.sum():

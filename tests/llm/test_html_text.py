@@ -25,6 +25,16 @@ def test_odd_pages(source, text):
     assert html_text.main_text(source) == text
 
 
+@pytest.mark.parametrize("open_, close", [
+    ('<div class="layout has-sidebar"><div>', "</div></div>"), ('<div id="page" class="with-comments">', "</div>"), ('<article class="post tag-social">', "</article>"),
+    ('<article class="category-advertising">', "</article>"), ('<div class="widget">', "</div>")])
+def test_names_do_not_drop_what_holds_the_content(open_, close):
+    story = "".join(f"<p>Sentence {k}, which is part of the story, goes on; and it ends here.</p>" for k in range(9))
+    page = f'<body><div class="cookie-notice"><p>We use cookies, as all do.</p></div>{open_}{story}<p>See <span class="share">tweet it</span> below.</p>{close}<div class="sidebar"><p>Other texts, here.</p></div></body>'
+    text = html_text.main_text(page)
+    assert text.split("\n") == [*(f"Sentence {k}, which is part of the story, goes on; and it ends here." for k in range(9)), "See below."]
+
+
 def test_paths_with_long_punctuated_blocks_win():
     scores = html_text.path_scores(["menu", "menu", "A long, long sentence; with marks. And more.", "Another one, as long as that, is here."], ["ul/li", "ul/li", "div/p", "div/p"])
     assert scores[2:].min() > 2 * scores[:2].max()
