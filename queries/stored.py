@@ -25,6 +25,9 @@ from stratalake.sources.lake import Lake
 from stratalake.sources.specs import DatasetSpec, TypedSpec
 from stratalake.streaming import microbatch
 
+#: Rows of a CSV file that csv_verdicts writes.
+CSV_ROWS = 50_000
+
 
 def _scratch(c: Commerce) -> str:
     return f"{scratch_dir(c.spark).rstrip('/')}/stratalake-{uuid.uuid4().hex}"
@@ -199,16 +202,25 @@ def json_files_to_bronze(c: Commerce) -> DataFrame:
     from (select count(*) as n from part), (values ('good'), ('short row'), ('no column'), ('empty'), ('broken header')) k(kind)
     where kind <> 'broken header' union all select 'broken header', count(*), null from part""")
 def csv_verdicts(c: Commerce) -> DataFrame:
-    """Parts as one CSV text per way to be right or wrong; a line break inside a quoted header is right."""
+    """Parts as CSV files of bounded size, one of them changed per way to be right or wrong; a line break inside a quoted header is right.
+
+    A kind counts its rows if all of its files are right.
+    """
     root = _scratch(c)
-    body = c.raw("part").orderBy("p_partkey").agg(F.array_join(F.collect_list(F.concat(F.col("p_partkey"), F.lit(',"'), "p_name", F.lit('"'))), "\n").alias("rows"))
-    texts = {"good": "concat('p_partkey,label\n', rows)", "short row": "concat('p_partkey,label\n', rows, '\n7')", "no column": "concat('p_partkey,name\n', rows)",
-             "empty": "''", "broken header": "concat('p_partkey,label,\"no\nte\"\n', replace(rows, '\n', ',\n'), ',')"}
-    for kind, text in texts.items():
-        body.selectExpr(f"{text} as value").coalesce(1).write.option("lineSep", "\n").text(f"{root}/{kind}")
-    found = [
-        files.file_verdicts(files.inspect_files(c.spark, f"{root}/{k}", "*.txt"), "csv", ("p_partkey", "label")).select(F.lit(k).alias("kind"), "record_count", "reason")
-        for k in texts]
+    kinds = {"good": lambda t: t, "short row": lambda t: t + "7\n", "no column": lambda t: t.replace("label", "name", 1), "empty": lambda t: "",
+             "broken header": lambda t: t.replace("\n", ",\n").replace("label,", 'label,"no\nte"', 1)}
+    found = []
+    for kind, change in kinds.items():
+        folder = f"{root}/{kind}"
+        parts = c.raw("part").select("p_partkey", F.col("p_name").alias("label"))
+        parts.write.options(header=True, escape='"', maxRecordsPerFile=CSV_ROWS).csv(folder)
+        path = next(p for p, _, size in fs.glob(c.spark, f"{folder}/*.csv") if size)
+        if kind != "good":
+            # at most CSV_ROWS rows
+            fs.write_text(c.spark, path, change(c.spark.read.text(path, wholetext=True).first().value))
+        verdicts = files.file_verdicts(files.inspect_files(c.spark, folder, "*.csv"), "csv", ("p_partkey", "label"))
+        count = F.when(F.count("reason") == 0, F.sum("record_count")).alias("record_count")
+        found.append(verdicts.agg(count, F.max("reason").alias("reason")).select(F.lit(kind).alias("kind"), "record_count", "reason"))
     return tables.union_all(found)
 
 

@@ -46,3 +46,22 @@ def test_entry(spark):
 def test_every_query_has_sql():
     assert set(entry.registry.oracle_sql()) == set(entry.registry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_csv_verdicts_over_many_files_of_bounded_size(spark, monkeypatch):
+    sizes = []
+    inspect = entry.stored.files.inspect_files
+
+    def counted(*args):
+        found = inspect(*args)
+        sizes.append(found.count())
+        return found
+
+    monkeypatch.setattr(entry.stored, "CSV_ROWS", 60, raising=False)
+    monkeypatch.setattr(entry.stored.files, "inspect_files", counted)
+    n = spark.read.parquet(f"{SF}/part.parquet").count()
+    got = {r.kind: (r.record_count, r.reason) for r in entry.queries()["csv_verdicts"](spark, SF).collect()}
+    assert min(sizes) >= n // 60 > 1
+    assert got["good"] == got["broken header"] == (n, None)
+    assert got["short row"] == (None, "1 row(s) with a field count other than 2")
+    assert got["no column"] == (None, "missing required columns: ['label']") and got["empty"] == (None, "file is empty or has no header")
