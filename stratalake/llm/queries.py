@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_model, packing, quality_rules, sharding, sql, suffix_dedup, url_filter
+from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_model, packing, periodic_runs, quality_rules, sharding, sql, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequences(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+@query("op11_periodic_runs", sql.PERIODIC_RUNS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents").select("doc_id", "text"))

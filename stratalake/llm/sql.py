@@ -45,3 +45,24 @@ SUFFIX_DEDUP = """
     select doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans,
       sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
     from d left join cuts using (doc_id) left join kept using (doc_id)"""
+
+_CRC32 = ("xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(cast({0} as varchar), ''), lambda c: ascii(c))), "
+          "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)))")
+
+PERIODIC_RUNS = f"""
+    with d as (select row_number() over () as k, doc_id, {_CRC32.format('doc_id')} as h, {_WORDS.format('text', _NOT_SPACE).replace(_FOLDED.format('text'), 'text')} as w from documents),
+      a as (select *, h // 10 as g, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a from d),
+      p as (select *, 1 + (len(w) - a) // (3 + g % 8) as p from a),
+      r as (select k, doc_id, case when a is null then w else list_concat(w[1:a], list_transform(range(0, len(w) - a), lambda i: w[a + i % p + 1])) end as w from p),
+      s as (select k, len(w) as n, i, array_to_string(w[i:i + 4], ' ') as x from r, unnest(range(1, len(w) - 3)) as u(i)),
+      pairs as (select k, i, q, i - row_number() over (partition by k, q order by i) as g from (
+          select x.k, x.i, y.i - x.i as q from s x join s y on x.k = y.k and x.x = y.x and y.i > x.i and 4 * (y.i - x.i) <= x.n)),
+      long as (select k, min(i) - 1 as start, count(*) + 4 + q as length, q from pairs group by k, q, g having count(*) + 4 + q >= greatest(6, 4 * q)),
+      runs as (select k, start, length, min(q) as period from long group by 1, 2, 3),
+      listed as (select k, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from runs group by 1),
+      best as (select *, row_number() over (partition by k order by length desc, start, period) as nth from runs),
+      gone as (select distinct k, i from runs, unnest(range(start + period, start + length)) as u(i)),
+      kept as (select k, string_agg(word, ' ' order by i) as words from (select k, i, w[i + 1] as word from r, unnest(range(0, len(w))) as u(i)) anti join gone using (k, i) group by 1)
+    select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+      sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(words, '')) as collapsed_sha256
+    from r left join listed using (k) left join kept using (k) left join (from best where nth = 1) b using (k)"""
