@@ -66,3 +66,23 @@ PERIODIC_RUNS = f"""
     select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(words, '')) as collapsed_sha256
     from r left join listed using (k) left join kept using (k) left join (from best where nth = 1) b using (k)"""
+
+PREFIX_TRIE = f"""
+    with t as (select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x, turn from conversations where conv_id is not null),
+      m as (select c, len(x) as chars, turn, md5(len(r) || ':' || r || x) as code from t),
+      own as (select c, chars, code, row_number() over (partition by c order by turn nulls first, code) as k from m),
+      h as (select c, {_CRC32.format('c')} % 6 as h from (select distinct c from own)),
+      s as (select h.c, k, chars, code from h join own on own.c = h.c - h.c % 100 and k <= h
+        union all select own.c, k, chars, code from own join h using (c) where k > h),
+      d as (select c, chars, code, row_number() over (partition by c order by k) as d from s),
+      p as (select c, d, chars, string_agg(code, '') over (partition by c order by d) as p from d
+        union all select c, 0, 0, '' from h),
+      depths as (select c, max(d) as depth from p group by 1),
+      ends as (select p, string_agg(c, ',' order by c) as ends from p join depths using (c) where d = depth group by 1),
+      n as (select p, d, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(chars) as own from p group by 1, 2),
+      kids as (select left(p, 32 * (d - 1)) as p, count(*) as n_children from n where d > 0 group by 1),
+      below as (select left(p, 32 * i) as p, sum(own) as saved, count(*) filter (n_children is null) as n_leaves
+        from (select p, d, own, n_children from n left join kids using (p)), unnest(range(0, d + 1)) as u(i) group by 1)
+    select n.conv_id, n.d as depth, up.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+      cast(saved as bigint) as saved_tokens, sha256(coalesce(ends, '')) as ends_sha256
+    from n left join n up on n.d > 0 and up.p = left(n.p, 32 * (n.d - 1)) left join kids on kids.p = n.p join below on below.p = n.p left join ends on ends.p = n.p"""
