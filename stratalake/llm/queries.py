@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_model, packing, periodic_runs, prefix_trie, quality_rules, sharding, sql, suffix_dedup, url_filter
+from stratalake.llm import compression, decontaminate, html_text, jaccard_join, language_id, language_model, packing, periodic_runs, prefix_trie, quality_rules, sharding, sql, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +99,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_prefix_trie", sql.PREFIX_TRIE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
