@@ -11,18 +11,18 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queries.commerce import Commerce
 from queries.registry import query
-from stratalake.plans import bronze, gold, ingest, silver
+from stratalake.plans import bronze, gold, gold_months, ingest, silver
 from stratalake.plans.state import State
 from stratalake.session import scratch_dir
 from stratalake.sources import files, fs, landing
 from stratalake.sources import lake as tables
 from stratalake.sources.lake import Lake
-from stratalake.sources.specs import DatasetSpec, TypedSpec
+from stratalake.sources.specs import TYPED_SPECS, DatasetSpec, TypedSpec
 from stratalake.streaming import microbatch
 
 #: Rows of a CSV file that csv_verdicts writes.
@@ -390,3 +390,100 @@ def stream_silver_upsert(c: Commerce) -> DataFrame:
     lake, spec = Lake(f"{root}/lake", buckets=8), TypedSpec("newest_events", ("user_id",), "ts", "user_id bigint")
     microbatch.upsert_stream(c.spark, lake, stream, spec, f"{root}/checkpoint", ("event_id",)).awaitTermination()
     return silver.silver_table(c.spark, lake, spec.dataset)
+
+
+# ------------------------------------------------------------- gold by touched months
+
+#: Days before the last order's within which orders and their lines change between two loads.
+CHANGED_DAYS = 75
+
+
+def _silver(c: Commerce, lake: Lake, dataset: str, rows: DataFrame, load: int) -> None:
+    spec = TYPED_SPECS[dataset]
+    typed = {f.name: f.dataType for f in spec.schema.fields}
+    own = F.col("updated_at") if "updated_at" in rows.columns else F.timestamp_seconds(F.lit(0))
+    full = rows.withColumn("updated_at", own + F.make_interval(years=F.lit(100 * load)))
+    silver.upsert_rows(c.spark, lake, spec, full.select(*[F.col(n).cast(typed[n]) for n in full.columns]), f"load-{load}")
+
+
+def _recent(orders: DataFrame) -> Column:
+    """Orders that change: a quarter of those of the last ``CHANGED_DAYS`` days."""
+    last = orders.agg(F.max("order_date")).scalar()
+    return (F.col("order_date") >= F.date_sub(last.cast("date"), CHANGED_DAYS).cast("timestamp")) & (F.col("order_id") % 4 == 0)
+
+
+def _two_gold_loads(c: Commerce) -> tuple[Lake, DataFrame]:
+    """Silver twice, gold after each: recent orders are late, or cancelled and moved, and their second lines grow."""
+    lake = Lake(_scratch(c), buckets=4)
+    orders = c.orders()
+    recent = _recent(orders)
+    late = recent & (F.col("order_id") % 8 == 0)
+    _silver(c, lake, "orders", orders.filter(~late), 1)
+    _silver(c, lake, "order_items", _items(c), 1)
+    _silver(c, lake, "products", c.products(), 1)
+    _silver(c, lake, "exchange_rates", c.rates(), 1)
+    gold_months.build_months(c.spark, lake)
+    moved = orders.filter(recent & ~late).withColumns({"status": F.lit("cancelled"), "order_date": F.col("order_date") - F.expr("interval 40 days")})
+    _silver(c, lake, "orders", moved.unionByName(orders.filter(late)), 2)
+    grown = _items(c).filter("order_item_id % 10 = 2").join(orders.filter(recent).select("order_id"), "order_id", "left_semi")
+    _silver(c, lake, "order_items", grown.withColumn("quantity", F.col("quantity") + 1), 2)
+    return lake, gold_months.build_months(c.spark, lake)
+
+
+_LINES = """lines as (select l_orderkey * 10 + l_linenumber as order_item_id, l_orderkey as order_id, l_partkey as product_id, cast(l_quantity as int) as quantity,
+      cast(l_extendedprice as decimal(12,2)) as unit_price, cast(cast(round(l_discount * 100) as int) as decimal(5,2)) as discount_pct from lineitem
+      qualify row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_extendedprice desc) = 1)"""
+
+_CHANGED_FACT = f"""
+    {_LINES},
+    marks as (select max(order_date) as last from shop_orders),
+    chosen as (select o.*, order_date >= cast(last as date) - {CHANGED_DAYS} and order_id % 4 = 0 as recent from shop_orders o, marks),
+    orders2 as (select order_id, customer_id, currency, shipping_country, recent, order_date as first_date,
+        case when recent and order_id % 8 <> 0 then order_date - interval 40 day else order_date end as order_date from chosen),
+    lines2 as (select i.* replace (case when recent and order_item_id % 10 = 2 then quantity + 1 else quantity end as quantity) from lines i join orders2 using (order_id)),
+    fact2 as (select o.*, i.product_id, i.quantity, i.order_item_id,
+        cast(cast(cast(quantity * unit_price as decimal(16,2)) * (100 - discount_pct) * cast(0.01 as decimal(3,2)) as decimal(24,6))
+          * case when currency = 'USD' then cast(1 as decimal(12,6)) else coalesce(rate_to_usd, cast(1 as decimal(12,6))) end as decimal(14,2)) as usd
+      from lines2 i join orders2 o using (order_id) left join rates on rate_date = cast(order_date as date) and quote_currency = currency)"""
+
+
+@query("gold_increment", f"""
+    , {_CHANGED_FACT.strip()},
+    touched as (select distinct year(d) * 100 + month(d) as m from (select unnest([first_date, order_date]) as d from orders2 where recent))
+    select cast(year(order_date) as int) as year, cast(month(order_date) as int) as month, shipping_country, category, count(distinct order_id) as total_orders,
+      count(distinct customer_id) as unique_customers, cast(sum(quantity) as bigint) as total_items_sold, cast(sum(usd) as decimal(16,2)) as total_revenue_usd,
+      year(order_date) * 100 + month(order_date) in (select m from touched) as made_anew
+    from fact2 left join products using (product_id) group by all""", "shop_orders rates products")
+def gold_increment(c: Commerce) -> DataFrame:
+    """KPIs after two loads, and whether the second one made their month anew."""
+    lake, anew = _two_gold_loads(c)
+    anew = anew.filter(F.col("table_name") == gold_months.KPI).select(F.col("month").alias("order_month"), F.lit(True).alias("anew"))
+    kpi = gold_months.kpi_by_month(c.spark, lake).drop("updated_at").withColumn("order_month", F.col("year") * 100 + F.col("month"))
+    return kpi.join(anew, "order_month", "left").withColumn("made_anew", F.coalesce("anew", F.lit(False))).drop("anew", "order_month")
+
+
+@query("fx_restated_fact", f"""
+    , {_LINES},
+    last as (select cast(max(order_date) as date) as day from shop_orders),
+    final as (select rate_date, quote_currency, cast(case
+        when rate_date > day - 20 then rate_to_usd * 3 when rate_date > day - 50 and quote_currency < 'K' then rate_to_usd * 2 else rate_to_usd end as decimal(18,10)) as rate
+      from rates, last)
+    select order_id || '_' || order_item_id as sales_fact_key, cast(strftime(order_date, '%Y%m%d') as int) as order_date_key, currency,
+      cast(case when currency = 'USD' then 1 else coalesce(rate, 1) end as decimal(12,6)) as exchange_rate_to_usd,
+      cast(cast(cast(quantity * unit_price as decimal(16,2)) * (100 - discount_pct) * cast(0.01 as decimal(3,2)) as decimal(20,4))
+        * case when currency = 'USD' then cast(1 as decimal(12,6)) else coalesce(cast(rate as decimal(12,6)), cast(1 as decimal(12,6))) end as decimal(14,2)) as line_total_usd
+    from lines join shop_orders using (order_id) left join final on rate_date = cast(order_date as date) and quote_currency = currency""", "shop_orders rates")
+def fx_restated_fact(c: Commerce) -> DataFrame:
+    """The fact after rates of the last weeks were restated once and, of the last days, once more; gold follows each time."""
+    lake = Lake(_scratch(c), buckets=4)
+    orders = c.orders()
+    _silver(c, lake, "orders", orders, 1)
+    _silver(c, lake, "order_items", _items(c), 1)
+    last = orders.agg(F.max("order_date").cast("date")).scalar()
+    for load, days, times in ((1, None, 1), (2, 50, 2), (3, 20, 3)):
+        rates = c.rates()
+        if days:
+            rates = rates.filter((F.col("rate_date") > F.date_sub(last, days)) & ((F.col("quote_currency") < "K") | F.lit(load == 3)))
+        _silver(c, lake, "exchange_rates", rates.withColumn("rate_to_usd", F.col("rate_to_usd") * times), load)
+        gold_months.build_months(c.spark, lake)
+    return gold_months.fact_by_month(c.spark, lake).select("sales_fact_key", "order_date_key", "currency", "exchange_rate_to_usd", "line_total_usd")

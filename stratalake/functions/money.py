@@ -3,7 +3,7 @@
 The operand precisions keep every product inside 38 digits, so nothing is rounded on the way: a local
 amount has 19 digits before the point, and at the smallest rate, 0.000001, such an amount
 is already too large for a money column. Narrowing uses ``try_cast``: an amount too large for its column
-becomes NULL, which ``operators.star.unfit_amounts`` counts and the daily chain refuses.
+becomes NULL, which ``operators.star.unfit_amounts`` counts and ``plans.daily`` refuses after gold is built.
 """
 
 from __future__ import annotations
