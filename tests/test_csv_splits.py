@@ -1,0 +1,86 @@
+"""CSV verdicts over splits of a few bytes against Python's own reader and the verdicts over whole files."""
+
+import csv
+import io
+import random
+
+import pytest
+
+from stratalake.sources import csv_splits, files
+
+HOSTILE = {
+    "ok": b'\xef\xbb\xbfa,b\n1,2\n\n3,"x\ny, ""q"""\n', "short": b"a,b\n1,2\n3\n", "long": b"a,b\n1,2\n3,4,5\n", "empty": b"", "blank": b"\n1,2\n",
+    "bad": b"a,b\n1,\xff\xfe\n", "head": b"a,b\r\n", "wide": b"b,c,a\r\n1,2,3\r\n\r\n", "lacks": b"a,c\n1,2\n", "no end": b"a,b\n1,2\n3,4",
+    "open": b'a,b\n1,"2\n3,4\n5,6', "stray": b'a,b\n5" disk,6\n7,8" x\n9,"1"0\n', "three splits": b'a,b\n1,"' + b"word, \nand more\n" * 40 + b'"\n2,3\n',
+    "header": b'a,"b\n,c"\n1,2\n', "quotes": b'a,b\n' + b'"1","2 ""two"", 2"\n' * 60, "unclosed": b'a,b\n1,2\n"3,4\n' + b"5,6\n" * 40,
+}
+
+
+def expected(content, required):
+    """As the standard reader counts."""
+    try:
+        rows = list(csv.reader(io.StringIO(content.decode("utf-8-sig"), newline="")))
+    except UnicodeDecodeError:
+        return None, "not valid UTF-8"
+    if not rows or not rows[0]:
+        return None, "file is empty or has no header"
+    absent = [c for c in required if c not in rows[0]]
+    if absent:
+        return None, f"missing required columns: {absent}"
+    body = [r for r in rows[1:] if r]
+    bad = sum(len(r) != len(rows[0]) for r in body)
+    return (None, f"{bad} row(s) with a field count other than {len(rows[0])}") if bad else (len(body), None)
+
+
+@pytest.fixture
+def split_size(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield use
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def verdicts(spark, folder, required):
+    return {r.file_name.removesuffix(".csv"): (r.record_count, r.reason) for r in csv_splits.csv_verdicts(spark, str(folder), "*.csv", required).collect()}
+
+
+def random_file(rng):
+    field = lambda: rng.choice(["", "1", "x y", '"q"', '"a,b"', '"a\nb"', '"\n\n,"', '"say ""hi"""', 'a"b', '"x"y', '""'])
+    lines = [",".join(field() for _ in range(rng.choice([2, 2, 2, 2, 1, 3]))) for _ in range(rng.randint(0, 60))]
+    return ("a,b\n" + rng.choice(["\n", "\r\n"]).join(lines) + rng.choice(["", "\n", '"', "\n\n"])).encode()
+
+
+def test_like_the_standard_reader_at_any_split_size(spark, tmp_path, split_size):
+    rng = random.Random(3)
+    contents = {**HOSTILE, **{f"random {k}": random_file(rng) for k in range(40)}}
+    for name, content in contents.items():
+        (tmp_path / f"{name}.csv").write_bytes(content)
+    (tmp_path / "other.txt").write_bytes(b"a,b,c\n")
+    want = {name: expected(content, ["a", "b"]) for name, content in contents.items()}
+    want["header"] = (None, "missing required columns: ['b']")
+    for size in (37, 300, 1 << 20):
+        split_size(size)
+        got = verdicts(spark, tmp_path, ["a", "b"])
+        assert got == want, [(n, got.get(n), want[n], contents[n]) for n in want if got.get(n) != want[n]][:3]
+
+
+def test_like_the_verdicts_over_whole_files(spark, tmp_path):
+    for name in ("ok", "short", "long", "empty", "bad", "head", "wide", "lacks", "three splits", "quotes"):
+        (tmp_path / f"{name}.csv").write_bytes(HOSTILE[name])
+    whole = files.file_verdicts(files.inspect_files(spark, str(tmp_path), "*.csv"), "csv", ["a", "b"])
+    assert verdicts(spark, tmp_path, ["a", "b"]) == {r.file_name.removesuffix(".csv"): (r.record_count, r.reason) for r in whole.collect()}
+
+
+def test_many_splits_of_one_file_and_no_files(spark, tmp_path, split_size):
+    rows = [f'{i},"line one\nline, two of {i}"' if i % 3 == 0 else f"{i},plain" for i in range(3_000)]
+    (tmp_path / "big.csv").write_text("id,text\n" + "\n".join(rows) + "\n1,2,3\n")
+    split_size(1_000)
+    assert csv_splits._lines(spark, str(tmp_path)).select("start").distinct().count() > 50
+    assert verdicts(spark, tmp_path, ["id"]) == {"big": (None, "1 row(s) with a field count other than 2")}
+    (tmp_path / "none").mkdir()
+    assert verdicts(spark, tmp_path / "none", ["id"]) == {}
