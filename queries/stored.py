@@ -19,7 +19,7 @@ from queries.registry import query
 from stratalake.plans import bronze, gold, gold_months, ingest, silver
 from stratalake.plans.state import State
 from stratalake.session import scratch_dir
-from stratalake.sources import files, fs, landing
+from stratalake.sources import csv_splits, files, fs, landing
 from stratalake.sources import lake as tables
 from stratalake.sources.lake import Lake
 from stratalake.sources.specs import TYPED_SPECS, DatasetSpec, TypedSpec
@@ -224,19 +224,48 @@ def csv_verdicts(c: Commerce) -> DataFrame:
     return tables.union_all(found)
 
 
+@query("csv_split_verdicts", """
+    select * from (values ('lacks', null, 'missing required columns: [''props'']'), ('never closed', null, '1 row(s) with a field count other than 3'),
+        ('no header', null, 'file is empty or has no header'), ('short', null, '1 row(s) with a field count other than 3'), ('two lines', 1, null)) k(kind, record_count, reason)
+    union all select 'events', count(*), null from events""")
+def csv_split_verdicts(c: Commerce) -> DataFrame:
+    """Events as CSV files with quotes, commas and line breaks in their fields, and a few small files wrong in a way of their own; judged by splits."""
+    folder = f"{_scratch(c)}/events"
+    note = F.concat_ws("\n", F.col("event_type"), F.col("user_id").cast("string"))
+    c.raw("events").select("event_id", "props", note.alias("note")).write.options(header=True, escape='"').csv(folder)
+    head = "event_id,props,note\n"
+    for kind, text in (("lacks", "event_id,note\n1,2\n"), ("never closed", head + '1,"x\n2,3,4\n'), ("no header", "\n1,2,3\n"),
+                       ("short", head + "1,2,3\n1,2\n"), ("two lines", head + '1,2,"a\nb"\n')):
+        fs.write_text(c.spark, f"{folder}/{kind}.csv", text)
+    judged = csv_splits.csv_verdicts(c.spark, folder, "*.csv", ("event_id", "props", "note"))
+    kind = F.when(F.col("file_name").startswith("part-"), "events").otherwise(F.replace("file_name", F.lit(".csv"), F.lit("")))
+    count = F.when(F.count("reason") == 0, F.sum("record_count")).alias("record_count")
+    return judged.groupBy(kind.alias("kind")).agg(count, F.max("reason").alias("reason"))
+
+
+#: Events of a JSON file that json_verdicts writes.
+JSON_ROWS = 2_000
+
+
 @query("json_verdicts", """
     select kind, case kind when 'good' then n end as record_count, case kind when 'two arrays' then 'malformed JSON' when 'object' then 'top level must be a JSON array of records'
         when 'cut' then 'malformed JSON' when 'numbers' then 'malformed JSON or an element that is not an object' when 'empty' then 'malformed JSON' end as reason
-    from (select count(*) as n from region), (values ('good'), ('two arrays'), ('object'), ('cut'), ('numbers'), ('empty')) k(kind)""")
+    from (select count(*) as n from events), (values ('good'), ('two arrays'), ('object'), ('cut'), ('numbers'), ('empty')) k(kind)""")
 def json_verdicts(c: Commerce) -> DataFrame:
-    """Regions as one JSON text per way to be right or wrong."""
+    """Events as files of one JSON array each, the first of them changed per way to be right or wrong; a kind counts its rows if all files are right."""
     root = _scratch(c)
-    body = c.raw("region").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("r_regionkey", "r_name"))), ","), F.lit("]")).alias("rows"))
+    row = F.to_json(F.struct("event_id", "event_type", "props"))
+    body = c.raw("events").groupBy(F.expr(f"event_id div {JSON_ROWS}").alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(row), ","), F.lit("]")).alias("rows"))
     texts = {"good": "rows", "two arrays": "concat(rows, rows)", "object": "concat('{\"a\":', rows, '}')", "cut": "substr(rows, 1, length(rows) - 3)",
              "numbers": "concat(substr(rows, 1, length(rows) - 1), ',1]')", "empty": "''"}
+    found = []
     for kind, text in texts.items():
-        body.selectExpr(f"{text} as value").coalesce(1).write.text(f"{root}/{kind}")
-    found = [files.file_verdicts(files.inspect_files(c.spark, f"{root}/{k}", "*.txt"), "json").select(F.lit(k).alias("kind"), "record_count", "reason") for k in texts]
+        changed = body.selectExpr(f"if(file = 0, {text}, rows) as value")
+        changed.write.option("maxRecordsPerFile", 1).text(f"{root}/{kind}")
+        verdicts = files.file_verdicts(files.inspect_files(c.spark, f"{root}/{kind}", "*.txt"), "json")
+        count = F.when(F.count("reason") == 0, F.sum("record_count")).alias("record_count")
+        found.append(verdicts.agg(count, F.max("reason").alias("reason")).select(F.lit(kind).alias("kind"), "record_count", "reason"))
     return tables.union_all(found)
 
 
@@ -311,20 +340,20 @@ _REGIONS = "(select count(*) from region)"
       ('tampered', 'b-1', 'success', null), ('tampered', 'b-2', 'failed', 'checksum mismatch'),
       ('missing', 'b-1', 'success', null), ('missing', 'b-2', 'failed', 'landed file missing')) v(kind, batch, status, fault)""")
 def bronze_refusals(c: Commerce) -> DataFrame:
-    """Regions landed three times: loading stops at the second batch, and the third waits."""
+    """Events landed in three batches: loading stops at the second one, and the third waits."""
     out = []
     for kind in ("count", "lineage", "tampered", "missing"):
         lake = Lake(_scratch(c))
-        state, spec = State(c.spark, lake), _spec("regions")
-        rows = c.raw("region")
-        for batch in ("b-1", "b-2", "b-3"):
+        state, spec = State(c.spark, lake), _spec("events")
+        for third, batch in enumerate(("b-1", "b-2", "b-3")):
+            rows = c.raw("events").select(*_EVENT_ROWS).filter(F.col("event_id") % 3 == third)
             clash = kind == "lineage" and batch == "b-2"
             landing.land_rows(rows.withColumn("run_id", F.lit("own")) if clash else rows, lake.landing, spec, batch, 100_000, _extra())
         folder = landing.batch_path(lake.landing, spec, "b-2")
         part = next(p for p, name, size in fs.glob(c.spark, f"{folder}/files/part-*") if size)
         if kind == "count":
             text = c.spark.read.text(f"{folder}/manifest.json", wholetext=True).first().value
-            fs.write_text(c.spark, f"{folder}/manifest.json", json.dumps({**json.loads(text), "record_count": rows.count() + 1}))
+            fs.write_text(c.spark, f"{folder}/manifest.json", json.dumps({**json.loads(text), "record_count": json.loads(text)["record_count"] + 1}))
         elif kind == "tampered":
             fs.write_text(c.spark, part, "{}")
         elif kind == "missing":
