@@ -58,7 +58,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Colu
     """The two dictionaries and the calibration's weights."""
     usable = F.lit(True) if usable is None else usable
     half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))
-    texts = [[t.encode() for t, _ in labelled(docs, labels.where(F.col(label) == y), label, PER_CLASS, MAX_BYTES, 1, usable & (half == 0))] for y in (1, 0)]
+    texts = [[t.encode() for t, _ in labelled(docs, labels, label, PER_CLASS, MAX_BYTES, 1, usable & (half == 0), y)] for y in (1, 0)]
     rest = labelled(docs, labels, label, CALIBRATION, MAX_BYTES, 2, usable & (half == 1))
     if not any(texts[0]) or not any(texts[1]):
         return [b"", b""], fit_logistic(np.zeros((len(rest), 4)), np.array([y for _, y in rest], float))

@@ -1,6 +1,6 @@
 """Quality rules: counts of each text, and a hashed n-gram logistic regression learned from labels.
 
-Features are hashed word unigrams and bigrams and byte 3-grams and 5-grams of the text; each kind counts
+Features are hashed word unigrams and bigrams and character (code point) 3-grams and 5-grams of the text; each kind counts
 as relative frequencies in ``2**BITS`` cells; no n-gram crosses the end of its text. The regression is fitted on a bounded sample of labelled
 rows by full gradient steps (AdaGrad), calibrated on other labelled rows at their natural rates, and
 scored in Arrow batches against the fixed threshold ``THRESHOLD``.
@@ -92,17 +92,27 @@ class Texts:
         at, pairs = _inside(self.words, 2)
         pair = self.hashes[at] ^ W.mix(self.hashes[at + 1])
         out = [((self.hashes >> shift).astype(np.int32), self.words), ((pair >> shift).astype(np.int32), pairs)]
-        wide = self.data.astype(np.uint64)
+        points, begins = self.characters()
         for size in (3, 5):
-            n = max(0, len(wide) - size + 1)
-            gram = wide[:n].copy()
-            for k in range(1, size):
-                gram |= wide[k : k + n] << np.uint64(8 * k)
-            gram *= np.uint64(0x9E3779B97F4A7C15 + 2 * size)
-            at, grams = _inside(self.rows, size)
+            n = max(0, len(points) - size + 1)
+            gram = np.zeros(n, np.uint64)
+            for k in range(size):
+                gram = gram * np.uint64(0x9E3779B97F4A7C15) + points[k : k + n]
+            gram = (gram + np.uint64(size)) * np.uint64(0xD1342543DE82EF95)
+            at, grams = _inside(begins, size)
             out.append(((gram >> shift).astype(np.int32)[at], grams))
         return out
 
+    def characters(self) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each code point, made of its bytes, and where each text's begin (end appended)."""
+        first = np.flatnonzero(_CODE_POINTS[self.data])
+        sizes = np.diff(np.append(first, len(self.data)))
+        points = self.data[first].astype(np.uint64)
+        for k in range(1, 4):
+            more = sizes > k
+            points[more] |= self.data[first[more] + k].astype(np.uint64) << np.uint64(8 * k)
+        return points, np.searchsorted(first, self.rows)
+
 
 def _inside(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the ``size``-grams that end within their row, and where each row starts among them."""
@@ -126,7 +136,7 @@ def raw_scores(features: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarra
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, np.ndarray]:
     """Weights by kind and cell, and the calibration's slope and intercept."""
     half = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(2))
-    rows = [r for y in (1, 0) for r in labelled(docs, labels.where(F.col(label) == y), label, TRAINING, MAX_BYTES, 3, half == 0)]
+    rows = [r for y in (1, 0) for r in labelled(docs, labels, label, TRAINING, MAX_BYTES, 3, half == 0, y)]
     rest = labelled(docs, labels, label, CALIBRATION, MAX_BYTES, 4, half == 1)
     weights = np.zeros((4, 1 << BITS), np.float32)
     y = np.array([v for _, v in rows], float)

@@ -43,7 +43,7 @@ SUFFIX_DEDUP = """
         union all select doc_id, max(b), max(n) from runs join d using (doc_id) group by 1),
       kept as (select doc_id, string_agg(substr(h, 2 * k + 1, 2 * (e - k)), '' order by k) as h from pieces join d using (doc_id) group by 1)
     select doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans,
-      sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+      sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256, n - cast(coalesce(n_removed, 0) as bigint) as n_kept, coalesce(n_removed, 0) > 0 as changed
     from d left join cuts using (doc_id) left join kept using (doc_id)"""
 
 _CRC32 = ("xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(cast({0} as varchar), ''), lambda c: ascii(c))), "

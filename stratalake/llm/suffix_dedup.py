@@ -333,7 +333,7 @@ def _with_cuts(docs: DataFrame, length: int, gram: int, words: bool = False) ->
 
 
 def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and what follows from them: n_kept (bytes) and changed."""
 
     def work():
         def digest(batch: pa.RecordBatch) -> list:
@@ -352,7 +352,8 @@ def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     found = _with_cuts(docs.select("doc_id", "text"), length, gram)
     fields = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     done = appended(found, {"text": F.col("row.text"), "cuts": F.col("cuts")}, fields, work, "text")
-    return done.select("row.row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    left = (F.col("n_bytes") - F.col("n_removed")).alias("n_kept")
+    return done.select("row.row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", left, (F.col("n_removed") > 0).alias("changed"))
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False) -> DataFrame:

@@ -7,20 +7,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes: int, seed: int, usable: Column | None = None) -> list[tuple[str, int]]:
+def labelled(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes: int, seed: int, usable: Column | None = None, only: int | None = None
+) -> list[tuple[str, int]]:
     """Up to ``rows`` labelled texts of at most ``max_bytes`` each, as (text, label), in a fixed order.
 
-    The labels are sampled first, by a hash of the id, so that only a bounded list of ids meets the
-    documents. Texts are whole; labelled rows with longer texts are not used for training. Null labels,
-    ids and texts are not used. ``rows`` times ``max_bytes`` bounds what reaches the driver.
+    Labels are made distinct first: an id counts once however often it is labelled, and an id whose labels disagree
+    is not used. Then ids are sampled by a hash (with ``only``, those of one label), so that only a bounded list of ids
+    meets the documents; of an id's documents the least text counts. Texts are whole; labelled rows with longer texts are not
+    used for training. Null labels, ids and texts are not used. ``rows`` times ``max_bytes`` bounds what reaches the driver.
     """
     order = F.xxhash64("doc_id", F.lit(seed))
     known = labels.select("doc_id", F.col(label).alias("y")).where("doc_id is not null and y in (0, 1)")
     if usable is not None:
         known = known.where(usable)
-    chosen = known.orderBy(order, "doc_id", "y").limit(rows)
+    agreed = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").drop("most")
+    if only is not None:
+        agreed = agreed.where(F.col("y") == only)
+    chosen = agreed.orderBy(order, "doc_id").limit(rows)
     found = docs.select("doc_id", "text").where(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "doc_id")
-    return [(r.text, r.y) for r in found.orderBy(order, "doc_id", "y", "text").limit(rows).select("text", "y").collect()]
+    found = found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    return [(r.text, r.y) for r in found.orderBy(order, "doc_id").limit(rows).select("text", "y").collect()]
 
 
 def crc32_of_id() -> Column:

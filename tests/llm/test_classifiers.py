@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stratalake.llm import compression, quality_rules
+from stratalake.llm import compression, quality_rules, training
 from stratalake.llm.queries import table as given
 from stratalake.llm.training import fit_logistic, sigmoid
 
@@ -50,6 +50,25 @@ def test_a_text_scores_the_same_alone_between_others_and_as_a_copy():
     assert sizes == [[3, 0, 2, 1], [2, 0, 1, 0], [3, 0, 1, 0], [1, 0, 0, 0]]
 
 
+def test_character_ngrams_are_of_code_points():
+    texts = ["日本語です", "", "é\U0001d504ß", "ab日", "日本語"]
+    found = quality_rules.Texts(pa.array(texts)).features()
+    assert [np.diff(rows).tolist() for _, rows in found[2:]] == [[3, 0, 1, 1, 1], [1, 0, 0, 0, 0]]
+    cells, _ = found[2]
+    assert cells[0] == cells[-1] and len(set(cells.tolist())) == 5
+
+
+def test_labels_count_once_and_not_where_they_disagree(spark, table):
+    docs = table([(i, f"text {i}") for i in range(40)] + [(7, "another 7"), (7, None)])
+    rows = [(i, i % 2, 0) for i in range(40)] + [(5, 1, 0)] * 500 + [(8, 1, 0), (None, 1, 0), (3, None, 0)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+    got = training.labelled(docs, labels, "quality", 30, 100, 1)
+    assert len(got) == 30 == len(set(got)) and ("text 8", 0) not in got and ("text 8", 1) not in got
+    every = training.labelled(docs, labels, "quality", 100, 100, 1)
+    assert sorted(every) == sorted([(f"text {i}", i % 2) for i in range(40) if i not in (7, 8)] + [("another 7", 1)])
+    assert {y for _, y in training.labelled(docs, labels, "quality", 100, 100, 1, only=0)} == {0}
+
+
 def test_logistic_fit():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 2))

@@ -56,7 +56,7 @@ def brute(docs, length):
         gone = {k for a, e in rs for k in range(a, e + length - 1)}
         kept = bytes(x for k, x in enumerate(b) if k not in gone)
         spans = sum(1 for k in gone if k - 1 not in gone)
-        out.append((d, len(b), len(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((d, len(b), len(gone), spans, hashlib.sha256(kept).hexdigest(), len(kept), len(gone) > 0))
     return sorted(out, key=repr)
 
 
