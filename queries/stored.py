@@ -330,12 +330,12 @@ def stream_silver_payments(c: Commerce) -> DataFrame:
     return table.select("payment_id", "order_id", "payment_status", "amount")
 
 
-_REGIONS = "(select count(*) from region)"
+_SECOND = "(select count(*) from events where event_id % 3 = 1)"
 
 
 @query("bronze_refusals", f"""
     select kind, batch, status, fault from (values
-      ('count', 'b-1', 'success', null), ('count', 'b-2', 'failed', '[b-2] read ' || {_REGIONS} || ' rows but the manifest says ' || ({_REGIONS} + 1)),
+      ('count', 'b-1', 'success', null), ('count', 'b-2', 'failed', '[b-2] read ' || {_SECOND} || ' rows but the manifest says ' || ({_SECOND} + 1)),
       ('lineage', 'b-1', 'success', null), ('lineage', 'b-2', 'failed', '[b-2] source columns collide with lineage columns: [''run_id'']'),
       ('tampered', 'b-1', 'success', null), ('tampered', 'b-2', 'failed', 'checksum mismatch'),
       ('missing', 'b-1', 'success', null), ('missing', 'b-2', 'failed', 'landed file missing')) v(kind, batch, status, fault)""")
