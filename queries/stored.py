@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from queries.commerce import Commerce
 from queries.registry import query
-from stratalake.plans import bronze, gold, gold_months, ingest, silver
+from stratalake.plans import bronze, daily, gold, gold_months, ingest, silver
 from stratalake.plans.state import State
 from stratalake.session import scratch_dir
 from stratalake.sources import csv_splits, files, fs, landing
@@ -516,3 +516,38 @@ def fx_restated_fact(c: Commerce) -> DataFrame:
         _silver(c, lake, "exchange_rates", rates.withColumn("rate_to_usd", F.col("rate_to_usd") * times), load)
         gold_months.build_months(c.spark, lake)
     return gold_months.fact_by_month(c.spark, lake).select("sales_fact_key", "order_date_key", "currency", "exchange_rate_to_usd", "line_total_usd")
+
+
+@query("daily_chain", f"""
+    , {_LINES},
+    parts as (select * from products where unit_price >= 0 and unit_cost >= 0),
+    sold as (select * from shop_orders where status in ('pending', 'paid', 'shipped', 'delivered', 'cancelled', 'returned'))
+    select cast(year(order_date) as int) as year, cast(month(order_date) as int) as month, shipping_country, category, count(distinct order_id) as total_orders,
+      count(distinct customer_id) as unique_customers, cast(sum(quantity) as bigint) as total_items_sold,
+      cast(sum(cast(cast(cast(quantity * i.unit_price as decimal(16,2)) * (100 - discount_pct) * cast(0.01 as decimal(3,2)) as decimal(24,6))
+        * case when o.currency = 'USD' then cast(1 as decimal(12,6)) else coalesce(rate_to_usd, cast(1 as decimal(12,6))) end as decimal(14,2))) as decimal(16,2)) as total_revenue_usd
+    from lines i join sold o using (order_id) left join rates on rate_date = cast(order_date as date) and quote_currency = o.currency
+    left join (select product_id, category from parts) p using (product_id) group by 1, 2, 3, 4""", "shop_orders rates products")
+def daily_chain(c: Commerce) -> DataFrame:
+    """Two days of the whole chain: ingest, bronze and its checks, silver and its quality, gold by months and its quality.
+
+    The second day brings a third of the orders, whose lines and rates are there since the first.
+    """
+    lake = Lake(_scratch(c), buckets=4)
+    state = State(c.spark, lake)
+    orders = c.orders().withColumn("updated_at", F.col("order_date"))
+    given = {
+        "orders": orders, "order_items": _items(c),
+        "products": c.products().withColumn("updated_at", F.lit("2024-01-01").cast("timestamp")),
+        "exchange_rates": c.rates().withColumn("updated_at", F.col("rate_date").cast("timestamp")),
+    }
+    specs = [_spec(n) for n in given]
+
+    def ingested(day: int) -> dict:
+        rows = given if day == 1 else {"orders": orders}
+        part = {"orders": orders.filter((F.col("order_id") % 3 == 0) == F.lit(day == 2))}
+        return {n: lambda n=n: landing.land_rows(part.get(n, given[n]), lake.landing, _spec(n), f"2024020{day}T000000Z-00000001", 100_000, _extra()) for n in rows}
+
+    for day in (1, 2):
+        daily.run_daily(c.spark, lake, state, specs, ingested(day), by_month=True)
+    return gold_months.kpi_by_month(c.spark, lake).drop("updated_at")
