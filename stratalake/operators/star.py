@@ -3,6 +3,8 @@
 No join here carries a broadcast hint. For dimensions and rates, Spark broadcasts a side only when its own size check
 (table statistics when planning, real shuffle sizes while running) is under
 ``spark.sql.autoBroadcastJoinThreshold``; beyond that it sort-merges and splits skewed partitions.
+
+Names and types of the output columns are fixed values: those who read the tables rely on them.
 """
 
 from __future__ import annotations
