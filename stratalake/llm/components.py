@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.scratch import stored
+from stratalake.llm.scratch import removed, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def roots(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (bigint columns a, b) that isn't its component's least node."""
     now, before = stored(edges.where("a != b").select("a", "b").distinct(), "edges"), None
     while True:
-        now = stored(_small_star(_large_star(now)), "stars")
+        last, now = now, stored(_small_star(_large_star(now)), "stars")
+        removed(last)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
         if state == before:
             return now.selectExpr("a as node", "b as root")

@@ -22,6 +22,10 @@
   leave the region, and all its documents meet anew in the regions of their shingles that p lacks. A region that all but a few members of one component are
   left in is settled by comparing these few with all.
 
+Distances are only counted where they may matter. Each set has an odd sketch: whether an odd number of its shingles falls
+into each of ``BITS`` cells. Two sketches differ at most in as many cells as the sets differ in shingles, so pairs whose
+sketches differ too much don't link and their sets are never moved.
+
 Exact copies of a set are one point of the space. The order of shingles comes from a sketch of
 ``SKETCH`` counters summed over all documents: any order that is the same for all documents gives exact
 results; a good one keeps frequent passages out of the regions. Shingles are 64-bit hashes of words.
@@ -40,18 +44,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratalake.llm import components
 from stratalake.llm import words as W
-from stratalake.llm.scratch import stored
+from stratalake.llm.scratch import removed, stored
 from stratalake.llm.textkeys import flagged, text_key
 
-SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS = 1 << 18, 1024, 32, 8, 64, 16
+SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS, BITS = 1 << 18, 1024, 32, 8, 64, 16, 1024
+#: Partitions whose counters are added up together before all are.
+TOGETHER = 256
 #: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
-MEETINGS, LEAVING = 8, 3
+MEETINGS, LEAVING = 8, 2
 
 
 def row_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -63,6 +70,12 @@ def row_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(found[a:b])
 
 
+def odd_sketch(found: np.ndarray) -> np.ndarray:
+    """Which of BITS cells hold an odd number of a set's shingles, as 64-bit words."""
+    cells = np.bincount((W.mix(found) % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    return np.packbits((cells & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     """Counts of all shingles of all documents in SKETCH cells, summed over tasks block by block."""
 
@@ -75,14 +88,17 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
                 found, _ = W.shingles(W.hashes(data, starts, ends, lower=True), words, size)
                 total += np.bincount((found & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         blocks = [b.tobytes() for b in total.reshape(-1, BLOCK)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], ["block", "counts"])
+        part = TaskContext.get().partitionId() // TOGETHER
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())], ["block", "part", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(b.as_py(), np.int64) for b in table["counts"])
-        return pa.table({"block": table["block"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"block": table["block"].slice(0, 1), "part": table["part"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    kind = "block int, counts binary"
-    blocks = docs.select("text").mapInArrow(count, kind).groupBy("block").applyInArrow(add, kind).collect()
+    kind = "block int, part int, counts binary"
+    counted = docs.select("text").mapInArrow(count, kind)
+    blocks = counted.groupBy("block", "part").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind).collect()
     out = np.zeros((SKETCH // BLOCK, BLOCK), np.int64)
     for r in blocks:
         out[r.block] = np.frombuffer(r.counts, np.int64)
@@ -126,11 +142,15 @@ def regions(placed: DataFrame, percent: int) -> DataFrame:
     need = F.least(F.lit(MEETINGS), F.ceil(F.lit(percent) * F.col("n") / 100))
     for k in range(LEAVING):
         shared = members.groupBy("region").agg(F.count("*").alias("c")).where("c > 1").select("region")
-        members = stored(members.join(shared, "region").select("sid", "region"), "meetings")
+        before, members = members, stored(members.join(shared, "region").select("sid", "region"), "meetings")
+        removed(before)
         staying = members.groupBy("sid").agg(F.count("*").alias("k")).join(sets.select("sid", "n"), "sid").where(F.col("k") >= need).select("sid", "n")
         if k == LEAVING - 1:
-            return _different(stored(members.join(staying, "sid"), "members"))
-        members = members.join(staying.select("sid"), "sid")
+            last = stored(members.join(staying, "sid"), "members")
+            out = stored(_different(last), "regions")
+            removed(sets, members, last)
+            return out
+        members = stored(members.join(staying.select("sid"), "sid"), "meetings")
     raise AssertionError("LEAVING is 1 at least")
 
 
@@ -142,7 +162,7 @@ def _different(members: DataFrame) -> DataFrame:
 
 
 def surviving_sets(docs: DataFrame, placed: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(sid, set) of all sets in regions, from one text of each."""
+    """(sid, set, n, odd) of all sets in regions, from one text of each: shingles, their number and their odd sketch."""
     alive = members.select("sid").distinct()
     keys = stored(placed.join(alive, "sid").groupBy("sid").agg(F.min("text_key").alias("text_key")), "keys")
 
@@ -150,20 +170,32 @@ def surviving_sets(docs: DataFrame, placed: DataFrame, members: DataFrame, size:
         for batch in batches:
             _, first = np.unique(batch.column(0).to_numpy(), return_index=True)
             for part in W.slices(batch.take(pa.array(first))):
-                sets = [W.signed(s) for s in row_sets(part.column(1), size)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["text_key", "set"])
+                sets = list(row_sets(part.column(1), size))
+                lists = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([W.signed(s) for s in sets], lists), pa.array([odd_sketch(s) for s in sets], lists)], ["text_key", "set", "odd"])
 
     seen = flagged(docs.select(text_key().alias("text_key"), "text"), keys).where("flag").select("text_key", "text")
-    found = seen.mapInArrow(collect, "text_key bigint, set array<bigint>")
-    return found.groupBy("text_key").agg(F.first("set").alias("set")).join(keys, "text_key").select("sid", "set")
+    found = seen.mapInArrow(collect, "text_key bigint, set array<bigint>, odd array<bigint>")
+    one = found.groupBy("text_key").agg(F.first("set").alias("set"), F.first("odd").alias("odd"))
+    return one.join(keys, "text_key").select("sid", "set", F.size("set").cast("bigint").alias("n"), "odd")
 
 
 def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with their distance and whether they link."""
-    both = pairs.join(sets.selectExpr("sid as a", "set as sa"), "a").join(sets.selectExpr("sid as b", "set as sb"), "b")
+    """Pairs (a, b) with their distance and whether they link, without those that aren't ``asked`` for and can't link."""
+    left, right = sets.selectExpr("sid as a", "n as na", "odd as oa"), sets.selectExpr("sid as b", "n as nb", "odd as ob")
+    apart = sum(F.bit_count(F.col("oa")[k].bitwiseXOR(F.col("ob")[k])) for k in range(BITS // 64))
+    # 100 * i >= percent * (na + nb - i) says that the sets differ in at most (na + nb) * (100 - percent) / (100 + percent) shingles
+    may = apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    near = stored(pairs.join(left, "a").join(right, "b").where(F.col("asked") | may).select("a", "b"), "near")
+    ids = near.selectExpr("a as sid").unionAll(near.selectExpr("b as sid")).distinct()
+    needed = stored(sets.select("sid", "set").join(ids, "sid", "left_semi"), "needed")
+    both = near.join(needed.selectExpr("sid as a", "set as sa"), "a").join(needed.selectExpr("sid as b", "set as sb"), "b")
     common = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
     whole = F.col("t") - F.col("i")
-    return common.select("a", "b", (1 - F.col("i") / whole).alias("d"), (100 * F.col("i") >= percent * whole).alias("linked"))
+    out = stored(common.select("a", "b", (1 - F.col("i") / whole).alias("d"), (100 * F.col("i") >= percent * whole).alias("linked")), "distances")
+    removed(near, needed)
+    return out
 
 
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -175,7 +207,9 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     mixed = by_root.groupBy("region").agg(
         F.sum("k").alias("c"), F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("most")).where("roots > 1")
     mixed = mixed.select("region", "c", (F.col("c") - F.col("most.k")).alias("minor"), F.col("most.root").alias("major"))
-    return stored(rooted.join(mixed, "region").select(*rooted.columns, "c", "minor", (F.col("root") != F.col("major")).alias("minority")), "mixed")
+    out = stored(rooted.join(mixed, "region").select(*rooted.columns, "c", "minor", (F.col("root") != F.col("major")).alias("minority")), "mixed")
+    removed(rooted)
+    return out
 
 
 def _first(live: DataFrame, few: int, seed: int) -> DataFrame:
@@ -192,6 +226,8 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     level = 0
     while True:
         live = _mixed(now, found)
+        if level:
+            removed(now)
         if live.isEmpty():
             return found
         settled = (F.col("c") <= SMALL) | (F.col("minor") <= MINOR)
@@ -205,21 +241,24 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         met = live.join(pivots, "region").where("sid != pivot")
         possible = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("root") != F.col("proot"))
         possible &= F.coalesce(F.abs(F.col("near") - F.col("pnear")) <= radius + 1e-9, F.lit(True))
-        if level:
-            possible |= ~settled  # these are divided by their distances
-        asked = met.where(possible).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
-        measured = stored(_distances(asked, sets, percent), "distances")
-        edges = measured.where("linked").select("a", "b").unionAll(found.selectExpr("node as a", "root as b"))
-        found = components.roots(edges)
+        asked = ~settled if level % 2 else F.lit(False)  # these are divided by their distances
+        pairs = met.where(possible | asked).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"), asked.alias("asked"))
+        measured = _distances(pairs.groupBy("a", "b").agg(F.max("asked").alias("asked")), sets, percent)
+        edges = measured.where("linked").select("a", "b")
+        if not edges.isEmpty():
+            found = components.roots(edges.unionAll(found.selectExpr("node as a", "root as b")))
         if level == 0:
-            now = live.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti").select("region", "sid", "n", "near")
+            rest = live.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti")
+            now = stored(rest.select("region", "sid", "n", "near"), "next")
         elif level % 2:
             rest = wide.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti")
             apart = rest.join(pivots, "region").select("region", "c", "sid", "n", "near", "pivot", F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"))
             apart = stored(apart.join(measured.select("a", "b", "d"), ["a", "b"]).drop("a", "b"), "apart")
             now = stored(_cells(rest, apart, radius), "next")
+            removed(apart)
         else:
             now = stored(_residues(wide, sets, percent, level), "next")
+        removed(live, pivots, measured)
         level += 1
 
 
@@ -257,9 +296,10 @@ def components_of(docs: DataFrame, size: int = 4, percent: int = 85, id_column:
     component (the smallest id reachable by links)."""
     docs = docs.select(id_column, "text")
     placed = stored(points(docs, size, percent, id_column), "points")
-    members = stored(regions(placed, percent), "regions")
+    members = regions(placed, percent)
     sets = stored(surviving_sets(docs, placed, members, size), "sets")
     found = links(members, sets, percent)
+    removed(members, sets)
     least = placed.where("n > 0").groupBy("sid").agg(F.min("id").alias("id"))
     rooted = stored(least.join(found.selectExpr("node as sid", "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "rooted")
     named = rooted.join(rooted.groupBy("root").agg(F.min("id").alias("component")), "root").select("sid", "root", "component")

@@ -21,4 +21,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet and read again: later reads don't depend on the executors that made it."""
     path = folder(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more; what ``stored`` didn't return is left alone."""
+    for table in tables:
+        path = getattr(table, "stored_at", None)
+        if path is not None:
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
