@@ -24,7 +24,8 @@
 
 Distances are only counted where they may matter. Each set has an odd sketch: whether an odd number of its shingles falls
 into each of ``BITS`` cells. Two sketches differ at most in as many cells as the sets differ in shingles, so pairs whose
-sketches differ too much don't link and their sets are never moved.
+sketches differ too much don't link and their sets are never moved. Sets of over ``BITS`` shingles, which fill such a
+sketch, have one of ``FINE`` cells too.
 
 Exact copies of a set are one point of the space. The order of shingles comes from a sketch of
 ``SKETCH`` counters summed over all documents: any order that is the same for all documents gives exact
@@ -54,7 +55,7 @@ from stratalake.llm import words as W
 from stratalake.llm.scratch import removed, stored
 from stratalake.llm.textkeys import flagged, text_key
 
-SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS, BITS = 1 << 18, 1024, 32, 8, 64, 16, 1024
+SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS, BITS, FINE = 1 << 18, 1024, 32, 8, 64, 16, 1024, 8192
 #: Partitions whose counters are added up together before all are.
 TOGETHER = 256
 #: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
@@ -70,9 +71,9 @@ def row_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(found[a:b])
 
 
-def odd_sketch(found: np.ndarray) -> np.ndarray:
-    """Which of BITS cells hold an odd number of a set's shingles, as 64-bit words."""
-    cells = np.bincount((W.mix(found) % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+def odd_sketch(found: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` cells hold an odd number of a set's shingles, as 64-bit words."""
+    cells = np.bincount((W.mix(found) % np.uint64(size)).astype(np.int64), minlength=size)
     return np.packbits((cells & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -162,7 +163,7 @@ def _different(members: DataFrame) -> DataFrame:
 
 
 def surviving_sets(docs: DataFrame, placed: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(sid, set, n, odd) of all sets in regions, from one text of each: shingles, their number and their odd sketch."""
+    """(sid, set, n, odd, fine) of all sets in regions, from one text of each: shingles, their number and their odd sketches."""
     alive = members.select("sid").distinct()
     keys = stored(placed.join(alive, "sid").groupBy("sid").agg(F.min("text_key").alias("text_key")), "keys")
 
@@ -171,30 +172,42 @@ def surviving_sets(docs: DataFrame, placed: DataFrame, members: DataFrame, size:
             _, first = np.unique(batch.column(0).to_numpy(), return_index=True)
             for part in W.slices(batch.take(pa.array(first))):
                 sets = list(row_sets(part.column(1), size))
-                lists = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([W.signed(s) for s in sets], lists), pa.array([odd_sketch(s) for s in sets], lists)], ["text_key", "set", "odd"])
+                odd = [odd_sketch(s, BITS) for s in sets]
+                fine = [odd_sketch(s, FINE) if len(s) > BITS else s[:0].view(np.int64) for s in sets]
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in ([W.signed(s) for s in sets], odd, fine)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["text_key", "set", "odd", "fine"])
 
     seen = flagged(docs.select(text_key().alias("text_key"), "text"), keys).where("flag").select("text_key", "text")
-    found = seen.mapInArrow(collect, "text_key bigint, set array<bigint>, odd array<bigint>")
-    one = found.groupBy("text_key").agg(F.first("set").alias("set"), F.first("odd").alias("odd"))
-    return one.join(keys, "text_key").select("sid", "set", F.size("set").cast("bigint").alias("n"), "odd")
+    found = seen.mapInArrow(collect, "text_key bigint, set array<bigint>, odd array<bigint>, fine array<bigint>")
+    one = found.groupBy("text_key").agg(*(F.first(c).alias(c) for c in ("set", "odd", "fine")))
+    return one.join(keys, "text_key").select("sid", "set", F.size("set").cast("bigint").alias("n"), "odd", "fine")
+
+
+def _those(sets: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
+    """The sets that stand in pairs, with one column of theirs."""
+    ids = pairs.selectExpr("a as sid").unionAll(pairs.selectExpr("b as sid")).distinct()
+    return sets.select("sid", column).join(ids, "sid", "left_semi")
 
 
 def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with their distance and whether they link, without those that aren't ``asked`` for and can't link."""
-    left, right = sets.selectExpr("sid as a", "n as na", "odd as oa"), sets.selectExpr("sid as b", "n as nb", "odd as ob")
-    apart = sum(F.bit_count(F.col("oa")[k].bitwiseXOR(F.col("ob")[k])) for k in range(BITS // 64))
     # 100 * i >= percent * (na + nb - i) says that the sets differ in at most (na + nb) * (100 - percent) / (100 + percent) shingles
-    may = apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-    near = stored(pairs.join(left, "a").join(right, "b").where(F.col("asked") | may).select("a", "b"), "near")
-    ids = near.selectExpr("a as sid").unionAll(near.selectExpr("b as sid")).distinct()
-    needed = stored(sets.select("sid", "set").join(ids, "sid", "left_semi"), "needed")
+    most = (F.col("na") + F.col("nb")) * (100 - percent)
+    left, right = sets.selectExpr("sid as a", "n as na", "odd as oa"), sets.selectExpr("sid as b", "n as nb", "odd as ob")
+    cells = sum(F.bit_count(F.col("oa")[k].bitwiseXOR(F.col("ob")[k])) for k in range(BITS // 64))
+    may = F.col("asked") | (cells * (100 + percent) <= most)
+    first = stored(pairs.join(left, "a").join(right, "b").where(may).select("a", "b", "na", "nb", "asked"), "near")
+    # short sets have no fine sketch: those pairs' sum is 0 or null
+    left, right = _those(sets, first, "fine").selectExpr("sid as a", "fine as fa"), _those(sets, first, "fine").selectExpr("sid as b", "fine as fb")
+    cells = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    may = F.col("asked") | F.coalesce(cells * (100 + percent) <= most, F.lit(True))
+    near = stored(first.join(left, "a").join(right, "b").where(may).select("a", "b"), "near")
+    needed = stored(_those(sets, near, "set"), "needed")
     both = near.join(needed.selectExpr("sid as a", "set as sa"), "a").join(needed.selectExpr("sid as b", "set as sb"), "b")
     common = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
     whole = F.col("t") - F.col("i")
     out = stored(common.select("a", "b", (1 - F.col("i") / whole).alias("d"), (100 * F.col("i") >= percent * whole).alias("linked")), "distances")
-    removed(near, needed)
+    removed(first, near, needed)
     return out
 
 

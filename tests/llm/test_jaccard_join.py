@@ -103,6 +103,17 @@ def test_a_dense_group_of_copies_that_mostly_do_not_link(table, spark, monkeypat
     assert sorted(((r.id, r.n, r.component) for r in got.collect()), key=repr) == brute(docs, 4, 85)
 
 
+def test_long_texts_near_and_apart(table, spark):
+    """Sets of over BITS shingles, some at the edge of linking, some that share half, one with a short partner."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(2500)]
+    docs = [(k, " ".join(near(rng, base, changes))) for k, changes in enumerate([0, 20, 45, 50, 52, 55, 60, 90, 300])]
+    docs += [(20 + k, " ".join(base[:1250] + [f"o{k}-{j}" for j in range(1250)])) for k in range(8)]
+    edge = [f"e{k}" for k in range(1100)]
+    docs += [(40, " ".join(edge)), (41, " ".join(edge[:1000])), (42, " ".join(edge[:900]))]
+    assert sorted(((r.id, r.n, r.component) for r in jaccard_join.components_of(table(docs), 4, 85).collect()), key=repr) == brute(docs, 4, 85)
+
+
 def test_roots_of_paths_and_stars(spark):
     rng = random.Random(7)
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
