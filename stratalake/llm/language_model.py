@@ -9,6 +9,9 @@ All counts cover every training text (each that isn't held out). Word counts are
 kept as a table. The states begin as seeded perturbations of the classes' overall chances, and Baum-Welch
 counts are summed over partitions too, in ``ROUNDS`` passes over all training texts.
 
+Texts of over ``markov.TRAIN_SEGMENT`` tokens are trained in segments that each start from the stationary distribution, so their
+Baum-Welch counts lack what one segment says of the next; their scores are exact.
+
 Bounds: the ``TOP`` most frequent words with counts, CLASSES, and states x classes numbers are broadcast,
 whatever the size of the input. Texts' other words meet the table of counts in a join; as the frequent
 ones are not among them, no word is hot there. Words are 64-bit hashes.
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,8 @@ from stratalake.llm.training import crc32_of_id
 
 TOP, OWN, SHARED, STATES, ROUNDS = 1 << 18, 1 << 14, 1 << 12, 6, 5
 CLASSES, BLOCK = OWN + SHARED, 2_048
+#: Counters of so many tasks are added at once: 16 MB in a group, and in the second level one of them per 1,000 tasks.
+TOGETHER, COUNTS = 1_000, "block int, part int, counts binary"
 END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 1 << 22
 
@@ -159,6 +165,18 @@ def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), "<u2").astype(np.int64), rows // 2
 
 
+def added(counted: DataFrame) -> DataFrame:
+    """Blocks of counters summed over tasks, in two levels: a group holds those of ``TOGETHER`` tasks, then one of each such group."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK)
+        for counts in table["counts"]:
+            total += np.frombuffer(counts.as_py(), np.float64)
+        return pa.table({"block": table["block"].slice(0, 1), "part": table["part"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    return counted.groupBy("block", "part").applyInArrow(add, COUNTS).groupBy("block").applyInArrow(add, COUNTS)
+
+
 def trained(texts: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> markov.Chain:
     """Baum-Welch over all rows of ``texts`` (a binary column ``classes``) in each round."""
     spark = texts.sparkSession
@@ -174,15 +192,13 @@ def trained(texts: DataFrame, vocabulary: Vocabulary, states: int = STATES, roun
                     found = markov.expected_counts(shared.value, *_sequences(part.column(0)))
                     total[:size] += np.concatenate([f.ravel() for f in found])
             blocks = [b.tobytes() for b in total.reshape(-1, BLOCK)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], ["block", "counts"])
-
-        def add(table: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(b.as_py(), np.float64) for b in table["counts"])
-            return pa.table({"block": table["block"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+            part = TaskContext.get().partitionId() // TOGETHER
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())], ["block", "part", "counts"])
 
-        kind = "block int, counts binary"
+        counted = texts.select("classes").mapInArrow(count, COUNTS)
         total = np.zeros((-(-size // BLOCK), BLOCK))
-        for r in texts.select("classes").mapInArrow(count, kind).groupBy("block").applyInArrow(add, kind).collect():
+        for r in added(counted).collect():  # states x CLASSES numbers
             total[r.block] = np.frombuffer(r.counts)
         first, move, emit = np.split(total.ravel()[:size], [states, states + states * states])
         chain = markov.refitted(first, move.reshape(states, states), emit.reshape(CLASSES, states), vocabulary.usual)

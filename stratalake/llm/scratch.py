@@ -1,7 +1,7 @@
 """Intermediate tables in the folder that the cluster names in ``spark.checkpoint.dir``.
 
-Where the session names none (tests), the warehouse folder of the session is used: it lies on the
-session's own file system, never in a folder that only one machine sees.
+Where the session names none (tests), the warehouse folder of the session is used, unless it would be a folder that each
+machine of a cluster has of its own: that is an error.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.session import scratch_dir
+
 
 def folder(spark: SparkSession, what: str) -> str:
     """A new folder of its own for one intermediate table."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/llm-scratch"
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark).rstrip('/')}/llm-scratch/{what}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

@@ -136,3 +136,14 @@ def test_all_rounds_count_all_training_texts(spark):
     texts = spark.createDataFrame([(r.astype("<u2").tobytes(),) for r in rows], "classes binary").repartition(3, F.rand(1))
     got = language_model.trained(texts, type("V", (), {"usual": usual}), 3, 2)
     assert np.allclose(got.emit, chain.emit) and np.allclose(got.move, chain.move) and np.allclose(got.start, chain.start)
+
+
+def test_counters_of_many_tasks_are_added_in_two_levels(spark):
+    """Counters of tasks that lie far apart: sums are exact, and blocks stay apart."""
+    from stratalake.llm import language_model as L
+
+    ones = np.arange(L.BLOCK, dtype=float).tobytes()
+    rows = [(b, t // L.TOGETHER, ones) for b in (0, 1) for t in (0, 1, L.TOGETHER, 50 * L.TOGETHER, 99 * L.TOGETHER + 7)]
+    found = {r.block: np.frombuffer(r.counts) for r in L.added(spark.createDataFrame(rows, L.COUNTS)).collect()}
+    assert sorted(found) == [0, 1] and all(np.array_equal(v, 5 * np.arange(L.BLOCK)) for v in found.values())
+    assert L.added(spark.createDataFrame([], L.COUNTS)).count() == 0
