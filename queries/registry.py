@@ -232,6 +232,22 @@ def yoy_growth(c: Commerce) -> DataFrame:
     return grown.select("year", "month", F.col("yoy_growth").cast("decimal(18,4)").alias("growth"))
 
 
+@query("ytd_by_day_country", """
+    , daily as (select shipping_country, strptime(cast(order_date_key as varchar), '%Y%m%d')::date as sales_date,
+        cast(sum(line_total_usd) as decimal(18,2)) as revenue_usd from fact group by 1, 2)
+    select n.shipping_country, n.sales_date, n.revenue_usd,
+      cast((select sum(t.revenue_usd) from daily t where t.shipping_country is not distinct from n.shipping_country
+        and year(t.sales_date) = year(n.sales_date) and t.sales_date <= n.sales_date) as decimal(18,2)) as ytd_revenue_usd,
+      max(p.revenue_usd) filter (p.sales_date = cast(n.sales_date - interval 1 year as date)) as prior_year_revenue_usd,
+      cast(sum(p.revenue_usd) as decimal(18,2)) as prior_ytd_revenue_usd
+    from daily n left join daily p on p.shipping_country is not distinct from n.shipping_country
+      and year(p.sales_date) = year(n.sales_date) - 1 and p.sales_date <= cast(n.sales_date - interval 1 year as date)
+    group by 1, 2, 3""", "fact")
+def ytd_by_day_country(c: Commerce) -> DataFrame:
+    slices = ["shipping_country"]
+    return measures.to_date_by_day(measures.daily_revenue(_fact(c), slices), slices)
+
+
 # ------------------------------------------------------- typed layer operators
 
 _LINE_ORDER = "l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc, l_extendedprice desc"

@@ -19,7 +19,7 @@ from queries.registry import query
 from stratalake.plans import bronze, daily, gold, gold_months, ingest, silver
 from stratalake.plans.state import State
 from stratalake.session import scratch_dir
-from stratalake.sources import csv_splits, files, fs, landing
+from stratalake.sources import csv_splits, files, fs, landing, pages
 from stratalake.sources import lake as tables
 from stratalake.sources.lake import Lake
 from stratalake.sources.specs import TYPED_SPECS, DatasetSpec, TypedSpec
@@ -551,3 +551,23 @@ def daily_chain(c: Commerce) -> DataFrame:
     for day in (1, 2):
         daily.run_daily(c.spark, lake, state, specs, ingested(day), by_month=True)
     return gold_months.kpi_by_month(c.spark, lake).drop("updated_at")
+
+
+@query("pages_in_order", """
+    select page, count(*) as n_rows, min(place) as first_place, min_by(event_id, place) as first_id, max_by(event_id, place) as last_id
+    from (select event_id, place, place // 500 + 1 as page from (select event_id, row_number() over (order by ts, event_id) - 1 as place from events)) group by 1""")
+def pages_in_order(c: Commerce) -> DataFrame:
+    """Every page of the sorted events, from one sort."""
+    index = pages.PageIndex.build(c.raw("events").select("event_id", "ts"), ["ts", "event_id"], f"{_scratch(c)}/pages", parts=64)
+    return index.paged(500).groupBy("page").agg(
+        F.count("*").alias("n_rows"), F.min("place").alias("first_place"),
+        F.min_by("event_id", "place").alias("first_id"), F.max_by("event_id", "place").alias("last_id"))
+
+
+@query("last_page", """
+    select event_id, ts, (select count(*) from events) as total, false as has_more from events
+    qualify (row_number() over (order by ts, event_id) - 1) // 500 = ((select count(*) from events) - 1) // 500""")
+def last_page(c: Commerce) -> DataFrame:
+    """The deepest page of the sorted events, read by its ranges alone."""
+    index = pages.PageIndex.build(c.raw("events").select("event_id", "ts"), ["ts", "event_id"], f"{_scratch(c)}/pages", parts=64)
+    return index.page(-(-index.total // 500) or 1, 500)

@@ -91,3 +91,48 @@ def yoy_growth(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return prior_year_revenue(monthly, by).withColumn(
         "yoy_growth", ratio_or_zero(now - before, before).cast("decimal(20,10)")
     )
+
+
+def daily_revenue(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Revenue per ``sales_date`` and slice; lines whose key is no calendar date are on none and left out."""
+    day = F.try_to_date(F.col("order_date_key").cast("string"), "yyyyMMdd")
+    return (
+        fact.withColumn("sales_date", day)
+        .filter("sales_date is not null")
+        .groupBy(*by, "sales_date")
+        .agg(F.sum("line_total_usd").cast("decimal(18,2)").alias("revenue_usd"))
+    )
+
+
+def to_date_by_day(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Each day of a slice beside its year to date, the same day a year before, and that year to that day.
+
+    29 February is compared with 28 February. A day without sales a year before has NULL there, a year
+    without sales until that day a NULL sum. Every day is offered twice, as a sale of its own year and as
+    a question to the year before, so the fact is read once. A window holds one slice's year: at most 366 days and as many
+    questions, however many lines there are.
+    """
+    money = "decimal(18,2)"
+    own = Window.partitionBy(*by, "_year").orderBy("_day")
+    offered = F.array(
+        F.struct(F.col("sales_date").alias("_on"), F.col("revenue_usd").alias("_sold"), F.lit(False).alias("_asks")),
+        F.struct(F.add_months("sales_date", -12).alias("_on"), F.lit(None).cast(money).alias("_sold"), F.lit(True).alias("_asks")),
+    )
+    rows = (
+        daily.select(*by, "sales_date", "revenue_usd", F.explode(offered).alias("_o"))
+        .select(*by, "sales_date", "revenue_usd", "_o.*")
+        .withColumn("_year", F.year("_on"))
+        .withColumn("_day", F.dayofyear("_on"))
+    )
+    summed = rows.select(
+        *by, "sales_date", "revenue_usd", "_asks",
+        F.sum("_sold").over(own.rangeBetween(Window.unboundedPreceding, 0)).cast(money).alias("_until"),
+        F.max("_sold").over(own.rangeBetween(0, 0)).alias("_then"),
+    )
+    asks = F.col("_asks")
+    return summed.groupBy(*by, "sales_date").agg(
+        F.max("revenue_usd").alias("revenue_usd"),
+        F.max(F.when(~asks, F.col("_until"))).alias("ytd_revenue_usd"),
+        F.max(F.when(asks, F.col("_then"))).alias("prior_year_revenue_usd"),
+        F.max(F.when(asks, F.col("_until"))).alias("prior_ytd_revenue_usd"),
+    )

@@ -33,6 +33,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """A folder that all executors share: ``spark.checkpoint.dir``, or else the session's warehouse.
 
-    Never a temporary folder, which every machine has of its own.
+    Never a folder that every machine has of its own: where the executors are other processes, a warehouse that only the
+    default names (a local folder under the driver's own) is refused.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse lies on each machine's own disk")
+    return warehouse

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ENVELOPE = "struct<data:array<map<string,string>>,page:bigint,page_size:bigint,total:bigint,has_more:boolean>"
 
@@ -77,3 +79,59 @@ def page_slice(df: DataFrame, page: int, page_size: int, order: Sequence[str | C
     total = df.agg(F.count(F.lit(1))).scalar()
     sliced = df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
     return sliced.withColumn("total", total).withColumn("has_more", F.col("total") > page * page_size)
+
+
+class PageIndex:
+    """A sorted set on disk, from which any page is read without sorting again.
+
+    Building it costs one range shuffle and a sort inside each of ``parts`` ranges. Ties of ``order`` fall to a hash of the
+    row, so a value that a third of all rows share is split over ranges too; equal rows stay together. Rows carry their range and
+    their place in it. The driver keeps one count per range, so its memory is bounded by ``parts``, not by the rows.
+    A page reads the ranges that it lies in, and of these the row groups that hold its places.
+    """
+
+    def __init__(self, rows: DataFrame, counts: list[int]):
+        self.rows, self.counts = rows, counts
+        self.starts = [0, *accumulate(counts)]
+        self.total = self.starts.pop()
+
+    @classmethod
+    def build(cls, df: DataFrame, order: Sequence[str], path: str, parts: int = 200) -> PageIndex:
+        if any(c.startswith("_range") for c in df.columns):
+            raise ValueError("columns that begin with _range are the index's own")
+        keys = [*order, "_range_tie"]
+        placed = F.monotonically_increasing_id()  # the partition's number over 33 bits of the place in it
+        (
+            df.withColumn("_range_tie", F.xxhash64(*df.columns))
+            .repartitionByRange(parts, *keys)
+            .sortWithinPartitions(*keys)
+            .withColumn("_range_id", placed)
+            .select(*df.columns, F.shiftright("_range_id", 33).cast("int").alias("_range"), F.col("_range_id").bitwiseAND((1 << 33) - 1).alias("_range_row"))
+            .write.partitionBy("_range").parquet(path)
+        )
+        fields = [*df.schema.fields, T.StructField("_range_row", T.LongType()), T.StructField("_range", T.IntegerType())]
+        rows = df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+        counts = [0] * parts
+        for r in rows.groupBy("_range").count().collect():
+            counts[r["_range"]] = r["count"]
+        return cls(rows, counts)
+
+    def page(self, page: int, page_size: int) -> DataFrame:
+        """Rows of one page, with ``total`` and ``has_more`` beside each; empty beyond the last."""
+        if page < 1 or page_size < 1:
+            raise ValueError("page and page_size start at 1")
+        first, stop = (page - 1) * page_size, page * page_size
+        held = F.lit(False)
+        for number, (start, count) in enumerate(zip(self.starts, self.counts)):
+            low, high = max(first, start), min(stop, start + count)
+            if low < high:
+                held = held | ((F.col("_range") == number) & F.col("_range_row").between(low - start, high - start - 1))
+        return self.rows.filter(held).drop("_range", "_range_row").withColumn("total", F.lit(self.total).cast("bigint")).withColumn("has_more", F.lit(self.total > stop))
+
+    def paged(self, page_size: int) -> DataFrame:
+        """All rows with ``page`` and ``place`` (from 0 in the whole set), without another sort."""
+        if page_size < 1:
+            raise ValueError("page and page_size start at 1")
+        place = F.array(*[F.lit(s).cast("bigint") for s in self.starts])[F.col("_range")] + F.col("_range_row")
+        numbered = self.rows.withColumn("place", place)
+        return numbered.withColumn("page", F.call_function("div", F.col("place"), F.lit(page_size)) + 1).drop("_range", "_range_row")

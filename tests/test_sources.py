@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -179,3 +180,30 @@ def test_export_by_month(spark, tmp_path):
     df = spark.createDataFrame([("r1", datetime(2025, 1, 31)), ("r2", datetime(2025, 2, 1))], "review_id string, review_date timestamp")
     files.export_by_month(df, "review_date", str(tmp_path / "out"))
     assert sorted(p.name for p in (tmp_path / "out").glob("month=*")) == ["month=2025-01", "month=2025-02"]
+
+
+def test_page_index_reads_any_page_without_sorting_again(spark, tmp_path):
+    # a third of the rows share one value, and some rows are repeated whole
+    rows = [(k if k % 3 else 0, f"r{k % 250}") for k in range(1000)] + [(None, "x"), (None, None)]
+    df = spark.createDataFrame(rows, "k bigint, v string")
+    index = pages.PageIndex.build(df, ["k", "v"], str(tmp_path / "index"), parts=7)
+    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    assert index.total == len(rows) and len([n for n in index.counts if n]) > 4
+    found = sorted((r.place, r.page, (r.k, r.v)) for r in index.paged(64).collect())
+    assert [f[0] for f in found] == list(range(len(rows))) and [f[2] for f in found] == expected
+    for page in (1, 2, 9, 16):
+        got = index.page(page, 64)
+        assert sorted(((r.k, r.v) for r in got.collect()), key=repr) == sorted(expected[64 * page - 64 : 64 * page], key=repr)
+        assert "Sort" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {r.has_more for r in got.collect()} == {page < 16} and {r.total for r in got.collect()} == {1002}
+    assert index.page(17, 64).count() == 0
+    assert re.search(r"PartitionFilters: \[[^]]*_range#\d+ = 0\)", index.page(1, 64)._jdf.queryExecution().executedPlan().toString())
+
+
+def test_page_index_of_nothing_and_of_clashing_names(spark, tmp_path):
+    empty = pages.PageIndex.build(spark.createDataFrame([], "k bigint"), ["k"], str(tmp_path / "empty"), parts=3)
+    assert empty.total == 0 and empty.page(1, 10).count() == 0 and empty.paged(10).count() == 0
+    with pytest.raises(ValueError, match="index's own"):
+        pages.PageIndex.build(spark.createDataFrame([(1,)], "_range bigint"), ["_range"], str(tmp_path / "clash"))
+    with pytest.raises(ValueError, match="start at 1"):
+        empty.page(0, 10)

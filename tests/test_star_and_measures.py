@@ -103,3 +103,18 @@ def test_star_join_keeps_every_line(spark, orders, items, rates):
     wide = star.star_join(fact, country=countries, calendar=star.dim_date(spark, "2025-01-01", "2025-12-31"))
     assert wide.count() == 3
     assert rows_of(wide.filter("country_region is not null"), "order_id", "date_month") == [(1000, 1)]
+
+
+def test_year_to_date_by_day(spark):
+    sold = [(20230228, "5.00"), (20240227, "1.00"), (20240228, "2.00"), (20240229, "4.00"), (20240229, "0.50"), (20250301, "8.00"), (None, "9.00")]
+    fact = spark.createDataFrame([("DE", k, D(v)) for k, v in sold] + [(None, 20240101, D("3.00"))], "country string, order_date_key int, line_total_usd decimal(18,2)")
+    found = {(r.country, str(r.sales_date)): tuple(r)[2:] for r in measures.to_date_by_day(measures.daily_revenue(fact, ["country"]), ["country"]).collect()}
+    assert found == {
+        ("DE", "2023-02-28"): (D("5.00"), D("5.00"), None, None),
+        ("DE", "2024-02-27"): (D("1.00"), D("1.00"), None, None),
+        ("DE", "2024-02-28"): (D("2.00"), D("3.00"), D("5.00"), D("5.00")),
+        ("DE", "2024-02-29"): (D("4.50"), D("7.50"), D("5.00"), D("5.00")),
+        # 1 March 2024 had no sales; until then, the year had 7.50
+        ("DE", "2025-03-01"): (D("8.00"), D("8.00"), None, D("7.50")),
+        (None, "2024-01-01"): (D("3.00"), D("3.00"), None, None)}
+    assert measures.to_date_by_day(measures.daily_revenue(fact.limit(0))).count() == 0
