@@ -9,26 +9,28 @@ Defined results: null and empty texts have no words and are clean; an item witho
 pattern; repeated items count once; an item with a null id is known as the empty string; an empty
 benchmark leaves everything clean.
 
-Size: the automaton is built from at most ``block_bytes`` of item text. A larger benchmark is taken in
-blocks of items, one pass each, with the hits so far stored in between, so memory stays bounded and
-every item is still looked for. Items are a stated query set; documents never move.
+Size: an automaton is built from about ``block_bytes`` of distinct item text; long items are cut into overlapping pieces
+first, so a block is never much more. A larger benchmark is taken in blocks, each with one pass over the texts alone that
+writes the hits it finds; documents are stored once and meet their hits in one join. So memory stays bounded and
+every item is still looked for. Items are a stated query set.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import words as W
 from stratalake.llm.batches import appended
 from stratalake.llm.scratch import stored
 
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES, PIECE_WORDS = 1 << 18, 1 << 12
 _NORMAL = bytes(int(W.LOWER[b]) if W.ALNUM[b] else 0x20 for b in range(256))
 FOUND = "n_words bigint, runs array<struct<start:int,stop:int>>, items array<string>"
 
@@ -84,42 +86,77 @@ def scan_text(text: bytes, search: ahocorasick.Automaton) -> tuple[int, list[tup
     return len(w), joined([(int(k) - n, int(k)) for k, n in zip(last, sizes)]), items
 
 
+def pieces(benchmark: DataFrame, item: str, text: str, window: int, step: int = PIECE_WORDS) -> DataFrame:
+    """(id, text): distinct normalised items, long ones cut into pieces that hold ``step`` windows each and overlap by one word less than a window."""
+    words = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"), F.lit(1))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(step))
+    return (
+        benchmark.select(F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")).alias("id"), words.alias("words"))
+        .where("size(words) > 0")
+        .select("id", "words", F.explode(starts).alias("start"))
+        .select("id", F.array_join(F.slice("words", F.col("start") + 1, step + window - 1), " ").alias("text"))
+        .distinct()
+    )
+
+
+def _searched(docs: DataFrame, text: Column, found: dict[str, list[str]]) -> DataFrame:
+    """``row`` (all columns of ``docs``), n_words, runs and items, by one automaton over these patterns."""
+    shared = docs.sparkSession.sparkContext.broadcast(found)  # of at most a block of items
+
+    def work():
+        search = automaton(shared.value)
+
+        def scan_batch(batch: pa.RecordBatch) -> list:
+            data, rows = W.text_bytes(batch.column(0))
+            body, counts, runs, names = data.tobytes(), [], [], []
+            for a, b in zip(rows[:-1], rows[1:]):
+                n, hit, ids = scan_text(body[a:b], search)
+                counts.append(n)
+                runs.append([{"start": s, "stop": e} for s, e in hit])
+                names.append(sorted(ids))
+            return [counts, runs, names]
+
+        return scan_batch
+
+    return appended(docs, {"text": text}, FOUND, work, "text")
+
+
+def _united(hits: DataFrame) -> DataFrame:
+    """Per ``key``: runs of all blocks as maximal ones, and all items. A document's hits are bounded by its words and the items."""
+    listed = hits.groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("all_runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+
+    def work():
+        def unite(batch: pa.RecordBatch) -> list:
+            return [[[{"start": s, "stop": e} for s, e in joined([(r["start"], r["stop"]) for r in found])] for found in batch.column(1).to_pylist()]]
+
+        return unite
+
+    made = appended(listed, {"text": F.lit(""), "found": "all_runs"}, "runs array<struct<start:int,stop:int>>", work, "text")
+    return made.select("row.key", "runs", "row.items")
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``row`` (all columns of ``docs``), n_words, ``runs`` (hit runs of words) and ``items`` found."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("id"), F.col(item_text).alias("text")).where("text is not null")
+    items = pieces(benchmark, item, item_text, window)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    out = docs
+    if blocks == 1:
+        return _searched(docs, docs[f"`{text}`"], patterns([tuple(r) for r in items.collect()], window))
+    items = stored(items, "items")
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    # keys are drawn in the scan that is stored, so they never change
+    kept = stored(docs.select(whole, F.monotonically_increasing_id().alias("key")), "documents")
+    texts = kept.select("key", F.col(f"row.`{text}`").alias("text"))
+    hits, counts = [], None
     for k in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
-        shared = spark.sparkContext.broadcast(patterns([tuple(r) for r in chosen], window))
-
-        def work(shared=shared, first=k == 0):
-            search = automaton(shared.value)
-
-            def scan_batch(batch: pa.RecordBatch) -> list:
-                data, rows = W.text_bytes(batch.column(0))
-                body, counts, runs, names = data.tobytes(), [], [], []
-                earlier = batch.column(1).to_pylist() if not first else [None] * len(batch)
-                for a, b, before in zip(rows[:-1], rows[1:], earlier):
-                    n, hit, ids = scan_text(body[a:b], search)
-                    if before:
-                        hit = joined(hit + [(r["start"], r["stop"]) for r in before["runs"]])
-                        ids = ids | set(before["items"])
-                    counts.append(n)
-                    runs.append([{"start": s, "stop": e} for s, e in hit])
-                    names.append(sorted(ids))
-                return [counts, runs, names]
-
-            return scan_batch
-
-        inputs = {"text": out[f"`{text}`"]} if k == 0 else {"text": F.col(f"row.`{text}`"), "before": F.struct("runs", "items")}
-        found = appended(out, inputs, FOUND, work, "text")
-        if k:
-            found = found.select("row.row", *(c for c in found.columns if c != "row"))
-        out = stored(found, "decontaminate") if k < blocks - 1 else found
-    return out
+        chosen = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()  # a block
+        found = _searched(texts, F.col("text"), patterns([tuple(r) for r in chosen], window)).select("row.key", "n_words", "runs", "items")
+        if k == 0:
+            found = stored(found, "first")
+            counts = found.select("key", "n_words")
+        hits.append(stored(found.where("size(runs) > 0").select("key", "runs", "items"), "hits"))
+    none = [F.coalesce(c, F.array().cast(kind)).alias(c) for c, kind in (("runs", "array<struct<start:int,stop:int>>"), ("items", "array<string>"))]
+    return kept.join(counts, "key").join(_united(reduce(DataFrame.unionAll, hits)), "key", "left").select("row", "n_words", *none)
 
 
 def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -50,6 +50,24 @@ def test_blocks_of_items_give_the_same(table, spark):
     assert rows == [r[:4] for r in brute(docs, items, 4)]
 
 
+def test_long_and_repeated_items_in_pieces_and_blocks(table, spark, monkeypatch):
+    rng = random.Random(9)
+    vocabulary = ["The", "cat", "sat", "on", "é", "mat", "7", "ÉCLAIR", "dog", "ran"]
+    words_of = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    long = words_of(300)
+    items = [(1, " ".join(long))] + [(k, "the, dog: ran on é") for k in range(2, 9)] + [(2, "the, dog: ran on é")] * 50
+    docs = [(k, "-".join(words_of(20) + long[9 * k : 9 * k + 12] + words_of(9))) for k in range(30)] + [(40, "The dog ran on é"), (41, None)]
+    cut = decontaminate.pieces(table(items, "item_id"), "item_id", "text", 5, 16)
+    assert cut.count() == 19 + 7 and max(len(r.text.split()) for r in cut.collect()) == 20
+    whole = decontaminate.pieces(table([(1, " ".join(long))], "item_id"), "item_id", "text", 5).collect()
+    assert [r.text.split() for r in whole] == [long]
+    pieces = decontaminate.pieces
+    monkeypatch.setattr(decontaminate, "pieces", lambda b, i, t, w: pieces(b, i, t, w, 16))
+    found = decontaminate.scan(table(docs), table(items, "item_id"), window=5, block_bytes=500)
+    rows = sorted(((r.row.doc_id, r.n_words, sum(x.stop - x.start for x in r.runs), len(r["items"])) for r in found.collect()), key=repr)
+    assert rows == [r[:4] for r in brute(docs, items, 5)]
+
+
 def test_original_offsets_and_clean(table, spark):
     text = "Before. The-Cat, SAT; on after"
     found = decontaminate.scan(table([(1, text)]), table([(0, "the cat sat on")], "item_id"), window=3).first()
