@@ -132,3 +132,12 @@ def test_the_guard_turns_nothing_away_that_the_cast_reads(spark, target):
     guarded = [r[0] for r in casting.typed(raw, schema).collect()]
     plain = [r[0] for r in raw.select(F.col("v").try_cast(target)).collect()]
     assert guarded == plain
+
+
+def test_slug_folds_many_rare_letters_by_ranges(spark):
+    """Long texts with ligatures, marks and letters that don't decompose; the class of rare letters is a list of ranges."""
+    many = "\u00c9t\u00e9 \ufb03 \u2167 \u338f, \u00df_\u4e2d-" * 2000
+    row = spark.createDataFrame([(many, "\ufb01", None, "")], "a string, b string, c string, d string").select(
+        *[text.slug(F.col(n)).alias(n) for n in "abcd"]).first()
+    assert (row.a, row.b, row.c, row.d) == ("eteffiviiikg" * 2000, "fi", None, "")
+    assert text._class_of("cab\ufb01") == "[\\x{61}-\\x{63}\\x{FB01}-\\x{FB01}]"
