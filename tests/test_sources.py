@@ -207,3 +207,20 @@ def test_page_index_of_nothing_and_of_clashing_names(spark, tmp_path):
         pages.PageIndex.build(spark.createDataFrame([(1,)], "_range bigint"), ["_range"], str(tmp_path / "clash"))
     with pytest.raises(ValueError, match="start at 1"):
         empty.page(0, 10)
+
+
+def test_json_files_are_read_by_several_tasks_and_as_they_are_written(spark, tmp_path):
+    """Columns are found out without one task that reads all files, and a number's text is kept to the digit."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(40):
+        (folder / f"f{i}.json").write_text('[\n {"a": 1.10, "b": "x"},\n {"a": 12345678901234567890.50, "c": {"d": [1, 2.0]}}]\n')
+    group = f"json-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, "columns")
+    rows = files.read_text_rows(spark, [str(folder)], "json")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages) > 1
+    assert {(r.a, r.b) for r in rows.select("a", "b").collect()} == {("1.10", "x"), ("12345678901234567890.50", None)}
+    assert rows.count() == 80
