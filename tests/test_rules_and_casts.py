@@ -141,3 +141,16 @@ def test_slug_folds_many_rare_letters_by_ranges(spark):
         *[text.slug(F.col(n)).alias(n) for n in "abcd"]).first()
     assert (row.a, row.b, row.c, row.d) == ("eteffiviiikg" * 2000, "fi", None, "")
     assert text._class_of("cab\ufb01") == "[\\x{61}-\\x{63}\\x{FB01}-\\x{FB01}]"
+
+
+def test_narrowing_rounds_as_try_cast_does_without_its_exceptions(spark):
+    edge = ["999999999999.994999", "999999999999.995000", "-999999999999.994999", "-999999999999.995000", "0.005000", "-0.004999", "9999999999999999999.999999", None]
+    df = spark.createDataFrame([(None if x is None else Decimal(x),) for x in edge], "x decimal(25,6)")
+    for precision, scale in (money.MONEY, (19, 6), (25, 6)):
+        both = df.select(money.narrowed(F.col("x"), precision, scale).alias("a"), F.col("x").try_cast(f"decimal({precision},{scale})").alias("b"))
+        assert [r.a for r in both.collect()] == [r.b for r in both.collect()]
+    # try_cast throws and catches an exception for each amount that is too large
+    lines = df.select(F.lit(1).alias("q"), F.lit("1.00").cast("decimal(12,2)").alias("p"), F.lit("0").cast("decimal(5,2)").alias("d"), "x")
+    local = money.line_amount(F.col("q"), F.col("p"), F.col("d"))
+    plan = lines.select(money.to_money(local + F.col("x")), money.converted(local, F.lit("2").cast(money.RATE)))._jdf.queryExecution().toString()
+    assert "try_cast" not in plan.lower()
