@@ -29,7 +29,9 @@ sketch, have one of ``FINE`` cells too.
 
 Exact copies of a set are one point of the space. The order of shingles comes from a sketch of
 ``SKETCH`` counters summed over all documents: any order that is the same for all documents gives exact
-results; a good one keeps frequent passages out of the regions. Shingles are 64-bit hashes of words.
+results (so counters may overflow); a good one keeps frequent passages out of the regions. With fewer counters, those of
+rare shingles are mostly filled by others, and more documents meet by chance the larger the input. Shingles are 64-bit
+hashes of words.
 
 Defined results: a null text, or one without words, has an empty set and links with nothing; a
 text of fewer words than a shingle is one shingle; equal sets link at any threshold; documents with a null
@@ -55,7 +57,7 @@ from stratalake.llm import words as W
 from stratalake.llm.scratch import removed, stored
 from stratalake.llm.textkeys import flagged, text_key
 
-SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS, BITS, FINE = 1 << 18, 1024, 32, 8, 64, 16, 1024, 8192
+SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS, BITS, FINE = 1 << 20, 4096, 32, 8, 64, 16, 1024, 8192
 #: Partitions whose counters are added up together before all are.
 TOGETHER = 256
 #: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
@@ -81,28 +83,28 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     """Counts of all shingles of all documents in SKETCH cells, summed over tasks block by block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             for part in W.slices(batch):
                 data, rows = W.text_bytes(part.column(0))
                 starts, ends, words = W.spans(data, rows, W.NOT_SPACE)
                 found, _ = W.shingles(W.hashes(data, starts, ends, lower=True), words, size)
-                total += np.bincount((found & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                total += np.bincount((found & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
         blocks = [b.tobytes() for b in total.reshape(-1, BLOCK)]
         part = TaskContext.get().partitionId() // TOGETHER
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())], ["block", "part", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py(), np.int64) for b in table["counts"])
-        return pa.table({"block": table["block"].slice(0, 1), "part": table["part"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = sum(np.frombuffer(b.as_py(), np.uint32) for b in table["counts"])
+        return pa.table({"block": table["block"].slice(0, 1), "part": table["part"].slice(0, 1), "counts": pa.array([total.astype(np.uint32).tobytes()], pa.binary())})
 
     kind = "block int, part int, counts binary"
     counted = docs.select("text").mapInArrow(count, kind)
     blocks = counted.groupBy("block", "part").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind).collect()
-    out = np.zeros((SKETCH // BLOCK, BLOCK), np.int64)
+    out = np.zeros((SKETCH // BLOCK, BLOCK), np.uint32)
     for r in blocks:
-        out[r.block] = np.frombuffer(r.counts, np.int64)
+        out[r.block] = np.frombuffer(r.counts, np.uint32)
     return out.ravel()
 
 

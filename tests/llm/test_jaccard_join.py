@@ -1,9 +1,10 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from stratalake.llm import components, jaccard_join
+from stratalake.llm import components, jaccard_join, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = {c: c + 32 for c in range(65, 91)}
@@ -130,3 +131,19 @@ def test_roots_of_paths_and_stars(spark):
         root[max(x, y)] = min(x, y)
     nodes = {n for e in edges if e[0] != e[1] for n in e}
     assert got == {n: find(n) for n in nodes if find(n) != n}
+
+
+def test_rare_shingles_have_counters_of_their_own(spark):
+    n = 300_000  # more different shingles than a sketch of 2**18 counters can tell apart
+    docs = spark.range(60).selectExpr(f"concat_ws(' ', transform(sequence(id * {n // 60}, id * {n // 60} + {n // 60 + 2}), x -> concat('w', x))) as text")
+    sketch = jaccard_join.frequency_sketch(docs, 4)
+    once = 300_000 - 60 * 3
+    assert sketch.sum() >= once
+    assert (sketch == 1).sum() > 0.7 * once
+
+
+def test_batches_for_python_workers_are_bounded_by_their_bytes(spark, tmp_path):
+    spark.range(40).selectExpr("id as doc_id", "repeat('word ', 200000) as text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = queries.table(spark, str(tmp_path), "documents")
+    sizes = docs.mapInArrow(lambda batches: (b.select([0]).slice(0, 1).set_column(0, "doc_id", pa.array([b.num_rows])) for b in batches), "doc_id bigint")
+    assert max(r.doc_id for r in sizes.collect()) <= 1 + queries.BATCH_BYTES // 1_000_000
