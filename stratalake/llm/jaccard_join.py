@@ -15,12 +15,14 @@
   document goes to the Voronoi cell of its nearest pivot and, if its distance to another pivot exceeds
   that by at most twice the radius, into that pivot's cell too; cells join recursively, and within a
   cell only documents whose distances to its pivot differ by at most the radius are compared.
-* **What a pivot lacks.** Many near copies of one text, each with changes of its own, are about as far from
-  each other as from any of them, and cells don't divide them. Their pivot is what most of a few members have
-  in common (any set may be a pivot). Two documents that share nothing beyond this set p have no more in common
-  than either has with p. So documents whose overlap with p is too small for any partner without shared extras
-  leave the region, and all its documents meet anew in the regions of their shingles that p lacks. A region that all but a few members of one component are
-  left in is settled by comparing these few with all.
+* **Changes from a pivot.** Many near copies of one text, each with changes of its own, are about as far from
+  each other as from any of them, and cells don't divide them. Their pivot p is what most of a few members have
+  in common (any set may be a pivot), and a document's changes are the shingles that it has beyond p and those of p that it lacks.
+  With ``cost = 100 * lacking + percent * beyond``, two documents link exactly if ``cost + cost <= (100 - percent) * |p| +
+  (100 + percent) * common changes``. So what links without common changes links with the document of the least cost, which
+  tells one edge for each; all else meets anew in the regions of changes, each document in as many (extras first) as a
+  partner can't avoid. Where two meet in their first common change, what follows it in their lists bounds what they share. About half of a region's members have a change at most, so regions shrink at each such level.
+  A region that all but a few members of one component are left in is settled by comparing these few with all.
 
 Distances are only counted where they may matter. Each set has an odd sketch: whether an odd number of its shingles falls
 into each of ``BITS`` cells. Two sketches differ at most in as many cells as the sets differ in shingles, so pairs whose
@@ -48,7 +50,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,8 +60,13 @@ from stratalake.llm.scratch import removed, stored
 from stratalake.llm.textkeys import flagged, text_key
 
 SKETCH, BLOCK, SMALL, PIVOTS, MINOR, VOTERS, BITS, FINE = 1 << 20, 4096, 32, 8, 64, 16, 1024, 8192
+#: Members of a region of a change, whose costs rule out most pairs, up to which it is compared pair by pair.
+CLOSE = 256
 #: Partitions whose counters are added up together before all are.
 TOGETHER = 256
+#: What is known of a member in its region: its distance to the pivot of its cell; or the cost of its changes, the room
+#: that links have, and its changes from the region's on.
+KNOWN = {"near": "double", "cost": "bigint", "room": "bigint", "rest": "bigint"}
 #: Regions in which two documents that link meet at least (fewer for the smallest sets), and rounds of leaving.
 MEETINGS, LEAVING = 8, 2
 
@@ -195,21 +202,18 @@ def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with their distance and whether they link, without those that aren't ``asked`` for and can't link."""
     # 100 * i >= percent * (na + nb - i) says that the sets differ in at most (na + nb) * (100 - percent) / (100 + percent) shingles
     most = (F.col("na") + F.col("nb")) * (100 - percent)
-    left, right = sets.selectExpr("sid as a", "n as na", "odd as oa"), sets.selectExpr("sid as b", "n as nb", "odd as ob")
+    left, right = sets.selectExpr("sid as a", "n as na", "odd as oa", "fine as fa"), sets.selectExpr("sid as b", "n as nb", "odd as ob", "fine as fb")
     cells = sum(F.bit_count(F.col("oa")[k].bitwiseXOR(F.col("ob")[k])) for k in range(BITS // 64))
-    may = F.col("asked") | (cells * (100 + percent) <= most)
-    first = stored(pairs.join(left, "a").join(right, "b").where(may).select("a", "b", "na", "nb", "asked"), "near")
     # short sets have no fine sketch: those pairs' sum is 0 or null
-    left, right = _those(sets, first, "fine").selectExpr("sid as a", "fine as fa"), _those(sets, first, "fine").selectExpr("sid as b", "fine as fb")
-    cells = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
-    may = F.col("asked") | F.coalesce(cells * (100 + percent) <= most, F.lit(True))
-    near = stored(first.join(left, "a").join(right, "b").where(may).select("a", "b"), "near")
+    fine = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    may = F.col("asked") | ((cells * (100 + percent) <= most) & F.coalesce(fine * (100 + percent) <= most, F.lit(True)))
+    near = stored(pairs.join(left, "a").join(right, "b").where(may).select("a", "b"), "near")
     needed = stored(_those(sets, near, "set"), "needed")
     both = near.join(needed.selectExpr("sid as a", "set as sa"), "a").join(needed.selectExpr("sid as b", "set as sb"), "b")
     common = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
     whole = F.col("t") - F.col("i")
     out = stored(common.select("a", "b", (1 - F.col("i") / whole).alias("d"), (100 * F.col("i") >= percent * whole).alias("linked")), "distances")
-    removed(first, near, needed)
+    removed(near, needed)
     return out
 
 
@@ -217,7 +221,7 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members with their ``root``, of regions with several roots; ``c`` members, of which ``minor`` are outside
     the root that most have (``minority``)."""
     rooted = members.join(found.selectExpr("node as sid", "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    rooted = stored(rooted.select("region", "sid", "n", "near", "root"), "members")
+    rooted = stored(rooted.select("region", "sid", "n", *KNOWN, "root"), "members")
     by_root = rooted.groupBy("region", "root").agg(F.count("*").alias("k"))
     mixed = by_root.groupBy("region").agg(
         F.sum("k").alias("c"), F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("most")).where("roots > 1")
@@ -233,46 +237,75 @@ def _first(live: DataFrame, few: int, seed: int) -> DataFrame:
     return live.withColumn("rank", rank).where(F.col("rank") <= few).drop("rank")
 
 
+def _unknown(*names: str) -> list[Column]:
+    return [F.lit(None).cast(kind).alias(k) for k, kind in KNOWN.items() if not names or k in names]
+
+
+def _joined(found: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """Components after more edges: those between different ones alone are joined."""
+    if found is None:
+        return None if edges.isEmpty() else components.roots(edges)
+    ends = edges.join(found.selectExpr("node as a", "root as ra"), "a", "left").join(found.selectExpr("node as b", "root as rb"), "b", "left")
+    ends = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a != b")
+    fresh = stored(ends.distinct(), "edges")
+    if fresh.isEmpty():
+        return found
+    more = components.roots(fresh)
+    moved = found.join(more.selectExpr("node as root", "root as above"), "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+    return stored(moved.unionAll(more), "found")
+
+
 def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the components that the links between members of common regions make."""
     spark, radius = members.sparkSession, 1 - percent / 100
-    now = members.withColumn("near", F.lit(None).cast("double"))
-    found = spark.createDataFrame([], "node bigint, root bigint")
+    now = members.select("*", *_unknown())
+    none = spark.createDataFrame([], "node bigint, root bigint")
+    found = None
     level = 0
     while True:
-        live = _mixed(now, found)
+        live = _mixed(now, none if found is None else found)
         if level:
             removed(now)
         if live.isEmpty():
-            return found
-        settled = (F.col("c") <= SMALL) | (F.col("minor") <= MINOR)
+            return none if found is None else found
+        small = F.col("c") <= F.when(F.col("cost").isNull(), SMALL).otherwise(CLOSE)
+        settled = small | (F.col("minor") <= MINOR)
         wide = live.where(~settled)
+        cells = level > 0 and level % 3 == 0
         if level == 0:
             chosen = _first(live, 1, level)
         else:
-            chosen = live.where(settled & ((F.col("c") <= SMALL) | F.col("minority")))
-            chosen = chosen.unionByName(_first(wide, PIVOTS, level)) if level % 2 else chosen
-        pivots = stored(chosen.selectExpr("region", "sid as pivot", "n as pn", "root as proot", "near as pnear"), "pivots")
+            chosen = live.where(settled & (small | F.col("minority")))
+            chosen = chosen.unionByName(_first(wide, PIVOTS, level)) if cells else chosen
+        pivots = stored(chosen.selectExpr("region", "sid as pivot", "n as pn", "root as proot", "near as pnear", "cost as pcost", "rest as prest"), "pivots")
         met = live.join(pivots, "region").where("sid != pivot")
         possible = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("root") != F.col("proot"))
         possible &= F.coalesce(F.abs(F.col("near") - F.col("pnear")) <= radius + 1e-9, F.lit(True))
-        asked = ~settled if level % 2 else F.lit(False)  # these are divided by their distances
+        possible &= F.coalesce(F.col("cost") + F.col("pcost") - F.col("room") <= (100 + percent) * F.least("rest", "prest"), F.lit(True))
+        asked = ~settled if cells else F.lit(False)  # these are divided by their distances
         pairs = met.where(possible | asked).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"), asked.alias("asked"))
         measured = _distances(pairs.groupBy("a", "b").agg(F.max("asked").alias("asked")), sets, percent)
         edges = measured.where("linked").select("a", "b")
-        if not edges.isEmpty():
-            found = components.roots(edges.unionAll(found.selectExpr("node as a", "root as b")))
+        done = level > 0 and wide.isEmpty()
+        changed = _changes(wide, sets, percent, level) if level and not cells and not done else None
+        if changed is not None:
+            edges = edges.unionAll(_sure_links(changed))
+        found = _joined(found, edges)
+        if done:
+            removed(live, pivots, measured)
+            return none if found is None else found
         if level == 0:
             rest = live.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti")
-            now = stored(rest.select("region", "sid", "n", "near"), "next")
-        elif level % 2:
+            now = stored(rest.select("region", "sid", "n", *KNOWN), "next")
+        elif cells:
             rest = wide.join(pivots.selectExpr("region", "pivot as sid"), ["region", "sid"], "left_anti")
             apart = rest.join(pivots, "region").select("region", "c", "sid", "n", "near", "pivot", F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"))
             apart = stored(apart.join(measured.select("a", "b", "d"), ["a", "b"]).drop("a", "b"), "apart")
             now = stored(_cells(rest, apart, radius), "next")
             removed(apart)
         else:
-            now = stored(_residues(wide, sets, percent, level), "next")
+            now = stored(_by_change(changed, percent), "next")
+            removed(changed)
         removed(live, pivots, measured)
         level += 1
 
@@ -283,27 +316,49 @@ def _cells(rest: DataFrame, apart: DataFrame, radius: float) -> DataFrame:
     cells = apart.join(nearest, ["region", "sid"]).where(F.col("d") - F.col("least") <= 2 * radius + 1e-9)
     helped = stored(cells.groupBy("region").agg(F.count("*").alias("rows"), F.first("c").alias("c")).where("2 * rows <= 3 * c").select("region"), "helped")
     divided = cells.join(helped, "region", "left_semi").select(F.xxhash64("region", "pivot").alias("region"), "sid", "n", F.col("d").alias("near"))
-    return divided.unionAll(rest.join(helped, "region", "left_anti").select("region", "sid", "n", "near"))
+    whole = rest.join(helped, "region", "left_anti").select("region", "sid", "n", "near")
+    return divided.unionAll(whole).select("*", *_unknown("cost", "room", "rest"))
 
 
-def _residues(wide: DataFrame, sets: DataFrame, percent: int, level: int) -> DataFrame:
-    """Members that may have partners without shared extras, in their region; and all members in the regions of
-    the shingles that their pivot, the majority of VOTERS members, lacks. Regions with equal pivots share them."""
+def _changes(wide: DataFrame, sets: DataFrame, percent: int, level: int) -> DataFrame:
+    """Members with their changes from their region's pivot, the majority of VOTERS members: (pivot, sid, n, changes, cost),
+    the room that links have in costs, and the member of the least cost (``lo``). Regions with equal pivots are one."""
     votes = _first(wide.select("region", "sid"), VOTERS, level).join(sets, "sid").select("region", F.explode("set").alias("shingle"))
     agreed = votes.groupBy("region", "shingle").agg(F.count("*").alias("k")).where(2 * F.col("k") > VOTERS)
     bases = agreed.groupBy("region").agg(F.array_sort(F.collect_list("shingle")).alias("base")).withColumn("pivot", F.xxhash64("base"))
     bases = stored(bases, "bases")
-    placed = wide.select("region", "sid", "n", "near").join(bases.select("region", "pivot"), "region", "left").withColumn("pivot", F.coalesce("pivot", F.lit(0)))
-    pairs = stored(placed.select("pivot", "sid", "n").distinct(), "pairs")
-    both = pairs.join(sets.selectExpr("sid", "set"), "sid").join(bases.select("pivot", "base").dropDuplicates(["pivot"]), "pivot", "left")
-    base = F.coalesce("base", F.array().cast("array<bigint>"))
-    both = stored(both.select("pivot", "sid", "n", F.array_except("set", base).alias("extras")), "extras")
-    least = wide.groupBy("region").agg(F.min("n").alias("fewest"))
-    known = both.select("pivot", "sid", (F.col("n") - F.size("extras")).alias("common"))
-    bound = placed.join(known, ["pivot", "sid"]).join(least, "region")
-    staying = bound.where(100 * F.col("common") >= percent * (F.col("n") + F.greatest("fewest", "common") - F.col("common"))).select("region", "sid", "n", "near")
-    apart = both.select("pivot", "sid", "n", F.explode("extras").alias("shingle")).select(F.xxhash64("pivot", "shingle").alias("region"), "sid", "n")
-    return staying.unionAll(_different(stored(apart, "apart")).select("region", "sid", "n", F.lit(None).cast("double").alias("near")))
+    placed = wide.select("region", "sid", "n").join(bases.select("region", "pivot"), "region", "left").withColumn("pivot", F.coalesce("pivot", F.lit(0)))
+    both = placed.select("pivot", "sid", "n").distinct().join(sets.selectExpr("sid", "set"), "sid")
+    both = both.join(bases.select("pivot", "base").dropDuplicates(["pivot"]), "pivot", "left")
+    both = both.withColumn("base", F.coalesce("base", F.array().cast("array<bigint>")))
+    both = both.select("pivot", "sid", "n", F.size("base").alias("p"), F.array_except("set", "base").alias("beyond"), F.array_except("base", "set").alias("lacking"))
+    cost = 100 * F.size("lacking") + percent * F.size("beyond")
+    # extras come first, in the order of the sets: one order for all
+    both = stored(both.select("pivot", "sid", "n", F.concat("beyond", "lacking").alias("changes"), cost.alias("cost"), ((100 - percent) * F.col("p")).alias("room")), "changes")
+    least = both.groupBy("pivot").agg(F.min(F.struct("cost", "sid")).alias("lo"))
+    out = stored(both.join(least, "pivot"), "changed")
+    removed(bases, both)
+    return out
+
+
+def _sure_links(changed: DataFrame) -> DataFrame:
+    """Links with the member of the least cost that need no common change."""
+    sure = changed.where((F.col("sid") != F.col("lo.sid")) & (F.col("cost") + F.col("lo.cost") <= F.col("room")))
+    return sure.select(F.least("sid", "lo.sid").alias("a"), F.greatest("sid", "lo.sid").alias("b"))
+
+
+def _by_change(changed: DataFrame, percent: int) -> DataFrame:
+    """Members of the regions of changes: with ``need`` changes in common, one is among all but the last ``need - 1`` of both."""
+    need = F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col("lo.cost") - F.col("room")) / (100 + percent))).cast("int")
+    apart = changed.withColumn("first", F.size("changes") - need + 1).where("first > 0")
+    apart = apart.select("*", F.posexplode(F.slice("changes", 1, F.col("first"))).alias("at", "change"))
+    apart = apart.select(F.xxhash64("pivot", "change").alias("region"), "sid", "n", "pivot", "at", F.col("cost").cast("bigint").alias("cost"), F.col("room").cast("bigint").alias("room"), (F.size("changes") - F.col("at")).cast("bigint").alias("rest"))
+    apart = stored(apart, "apart")
+    # of regions with the same members and pivot, the first in the order of changes is kept: there they meet first
+    counted = apart.groupBy("region").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("sid")).alias("who"), F.min(F.struct("sid", "at")).alias("lo"), F.max("sid").alias("hi"), F.min("pivot").alias("pivot")).where("c > 1")
+    kept = counted.groupBy("pivot", "c", "who", "lo.sid", "hi").agg(F.min(F.struct("lo.at", "region")).alias("first")).select("first.region")
+    return apart.join(kept, "region").select("region", "sid", "n", *_unknown("near"), "cost", "room", "rest")
 
 
 def components_of(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id") -> DataFrame:

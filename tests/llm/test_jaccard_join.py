@@ -104,6 +104,38 @@ def test_a_dense_group_of_copies_that_mostly_do_not_link(table, spark, monkeypat
     assert sorted(((r.id, r.n, r.component) for r in got.collect()), key=repr) == brute(docs, 4, 85)
 
 
+def dense(seed, copies, most):
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(90)]
+    return list(enumerate(" ".join(near(rng, base, rng.randint(1, most))) for _ in range(copies)))
+
+
+@pytest.mark.parametrize("seed, most", [(2, 7)])
+def test_changes_divide_a_dense_group_down_to_single_links(table, spark, monkeypatch, seed, most):
+    for name, value in {"SMALL": 3, "CLOSE": 5, "MINOR": 1, "PIVOTS": 2}.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    docs = dense(seed, 70, most)
+    found = jaccard_join.report(table(docs))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(docs, 4, 85)
+
+
+def test_a_dense_group_takes_few_levels_and_pairs(table, spark, monkeypatch):
+    levels, pairs = [], []
+    mixed, distances = jaccard_join._mixed, jaccard_join._distances
+
+    def counted(asked, *more):
+        pairs.append(asked.count())
+        return distances(asked, *more)
+
+    monkeypatch.setattr(jaccard_join, "_mixed", lambda *a: levels.append(1) or mixed(*a))
+    monkeypatch.setattr(jaccard_join, "_distances", counted)
+    docs = dense(5, 300, 12)
+    found = jaccard_join.report(table(docs))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(docs, 4, 85)
+    assert len(levels) <= 5
+    assert sum(pairs) < 300 * 40
+
+
 def test_long_texts_near_and_apart(table, spark):
     """Sets of over BITS shingles, some at the edge of linking, some that share half, one with a short partner."""
     rng = random.Random(11)
