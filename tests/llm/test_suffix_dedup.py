@@ -133,3 +133,17 @@ def test_passages_counted_in_words_like_brute_force(table, spark, monkeypatch, s
 
 def test_empty_table(table, spark):
     assert suffix_dedup.report(table([])).count() == 0
+
+
+def test_a_group_of_word_passages_keeps_memory_bounded():
+    import random
+    import tracemalloc
+
+    rng = random.Random(4)
+    one = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(100)).encode() for _ in range(suffix_dedup.PART_BYTES // 1500)]
+    tracemalloc.start()
+    runs = suffix_dedup.repeated_words(one + one + [b"alone " * 3], [1] * (2 * len(one) + 1), 51)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert runs == [[(0, 50)]] * (2 * len(one)) + [[]]
+    assert peak < 96 << 20
