@@ -5,6 +5,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from stratalake.functions import text
 from stratalake.operators import incremental
 from stratalake.sources import files, jdbc, pages, specs
 from stratalake.sources.lake import Lake
@@ -239,3 +240,11 @@ def test_json_verdicts_list_many_files_in_few_tasks(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("verdicts") for s in tracker.getJobInfo(j).stageIds]
     assert max(s.numTasks for s in stages if s) <= 64
+
+
+def test_paths_without_escapes_are_not_decoded(spark):
+    """A row's path is decoded for every row, which took longer than reading the row."""
+    paths = ["/a/b.json", "/a%20b/c+d.json", "/a+b/c", "/%25/%2B", "", None]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select(text.decoded(F.col("p")).alias("d"))
+    assert [r.d for r in found.collect()] == ["/a/b.json", "/a b/c+d.json", "/a+b/c", "/%/+", "", None]
+    assert "CASE WHEN contains(" in found._jdf.queryExecution().optimizedPlan().toString().replace("Contains(", "contains(")

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from stratalake.functions import money
 from stratalake.operators import measures, star
 
 
@@ -118,3 +119,15 @@ def test_year_to_date_by_day(spark):
         ("DE", "2025-03-01"): (D("8.00"), D("8.00"), None, D("7.50")),
         (None, "2024-01-01"): (D("3.00"), D("3.00"), None, None)}
     assert measures.to_date_by_day(measures.daily_revenue(fact.limit(0))).count() == 0
+
+
+def test_amounts_are_worked_out_once(spark, orders, rates):
+    """Each mention of the local amount was a product of its own: nine and more per line."""
+    lines = spark.sql("""select 1L as order_item_id, cast(1000 as bigint) as order_id, 1L as product_id, q as quantity, p as unit_price, d as discount_pct
+        from values (3, 19.99BD, 12.50BD), (2000000000, 9999999999.99BD, 0.01BD), (1, 0.01BD, null), (null, 1.00BD, 1.00BD) t(q, p, d)""")
+    lines = lines.withColumns({"unit_price": F.col("unit_price").cast("decimal(12,2)"), "discount_pct": F.col("discount_pct").cast("decimal(5,2)")})
+    fact = star.fact_sales(orders, lines, rates)
+    assert fact._jdf.queryExecution().optimizedPlan().toString().count("* 0.01") <= 2  # compared with the bound, then narrowed
+    amount = money.line_amount(F.col("quantity"), F.col("unit_price_local"), F.col("discount_pct"))
+    again = fact.select("line_total_local", "line_total_usd", money.to_money(amount).alias("local"), money.converted(amount, F.col("exchange_rate_to_usd")).alias("usd")).collect()
+    assert len(again) == 4 and all((r.line_total_local, r.line_total_usd) == (r.local, r.usd) for r in again)
